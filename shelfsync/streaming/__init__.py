@@ -1,0 +1,4 @@
+"""Nothing lives here: every run of the sync is one batch over whole tables.
+
+``operators.sync.classify_entity`` is a pure function of the incoming rows and the stored table.
+"""
