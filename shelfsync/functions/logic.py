@@ -51,8 +51,9 @@ def case(c: Column, branches: dict[Any, Any], else_: Any = _NO_ELSE) -> Column:
             return text.isNull() | (text == "null")
         return text == str(key)
 
-    rest = c if else_ is _NO_ELSE else F.lit(else_)
     pairs = list(branches.items())
+    own = text if any(isinstance(v, str) for v in branches.values()) else c
+    rest = own if else_ is _NO_ELSE else F.lit(else_)
     if not pairs:
         return rest
     chain = F.when(hit(pairs[0][0]), F.lit(pairs[0][1]))

@@ -125,7 +125,9 @@ def rebuild_links(links: DataFrame, articles: DataFrame, attributes: DataFrame,
 
     a = one_per_key(articles, F.col("model"), article_id=F.col("id"))
     t = one_per_key(attributes, F.col("name"), attribute_id=F.col("id"))
-    status = F.coalesce(links["status"].cast("string").try_cast("bigint"), F.lit(1)).alias("status")
+    number = F.regexp_extract(links["status"].cast("string"), r"^\s*([+-]?\d+)", 1)
+    status = F.when(links["status"].isNull(), 1).otherwise(F.coalesce(number.try_cast("bigint"), F.lit(0)))
+    status = status.cast("bigint").alias("status")
     rows = (
         links.join(a.withColumnRenamed("__key", "__model"), links["article"] == F.col("__model"))
         .join(t.withColumnRenamed("__key", "__name"), links["attribute"] == F.col("__name"))

@@ -1,0 +1 @@
+"""Queries over the given tables, each with the SQL it must agree with."""
