@@ -128,10 +128,11 @@ def rebuild_links(links: DataFrame, articles: DataFrame, attributes: DataFrame,
     number = F.regexp_extract(links["status"].cast("string"), r"^\s*([+-]?\d+)", 1)
     status = F.when(links["status"].isNull(), 1).otherwise(F.coalesce(number.try_cast("bigint"), F.lit(0)))
     status = status.cast("bigint").alias("status")
+    extra = [c for c in dict.fromkeys(o.split()[0] for o in order) if c not in ("value", "status")]
     rows = (
         links.join(a.withColumnRenamed("__key", "__model"), links["article"] == F.col("__model"))
         .join(t.withColumnRenamed("__key", "__name"), links["attribute"] == F.col("__name"))
-        .select("article_id", "attribute_id", status, links["value"], *[links[c] for c in order if c != "value"])
+        .select("article_id", "attribute_id", status, links["value"], *[links[c] for c in extra])
     )
     return first_wins(rows, ["article_id", "attribute_id"], order).select(
         "article_id", "attribute_id", "status", "value"

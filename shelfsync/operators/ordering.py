@@ -16,6 +16,17 @@ from .filters import sort_columns
 BLOCK = 1 << 20
 
 
+def block_levels(highest: int | None, block: int = BLOCK) -> int:
+    """Levels that keep every task within ``block`` positions; the third is the last."""
+    highest = highest or 0
+    return 0 if highest < block else 1 if highest < block * block else 2
+
+
+def highest(df: DataFrame, *columns: Column) -> int:
+    """Largest value over some columns, one number."""
+    return df.agg(F.greatest(*[F.coalesce(F.max(c), F.lit(0)) for c in (*columns, F.lit(0))])).first()[0]
+
+
 def running_sum(
     df: DataFrame,
     group: Sequence[str],
@@ -29,21 +40,23 @@ def running_sum(
 
     Positions are unique within a group and not negative. The group is cut into blocks of
     ``block`` positions, so a task sorts at most ``block`` rows however large the group is.
-    The sums of the blocks are added up the same way, one level higher.
+    The sums of the blocks are added up the same way, one level higher. ``block_levels`` tells
+    how many levels a highest position needs; 0 is a plain window.
     """
     rows = df.withColumn("__value", value.cast("bigint"))
     if levels == 0:
         order = Window.partitionBy(*group).orderBy(position)
         return rows.withColumn(into, F.sum("__value").over(order)).drop("__value")
-    rows = rows.withColumn("__block", F.floor(F.col(position) / F.lit(block)))
-    totals = rows.groupBy(*group, "__block").agg(F.sum("__value").alias("__total"))
-    reached = running_sum(totals, group, "__block", F.col("__total"), "__reached", block, levels - 1)
-    before = reached.select(*group, "__block", (F.col("__reached") - F.col("__total")).alias("__before"))
-    order = Window.partitionBy(*group, "__block").orderBy(position)
+    part = f"__block{levels}"
+    rows = rows.withColumn(part, F.floor(F.col(position) / F.lit(block)))
+    totals = rows.groupBy(*group, part).agg(F.sum("__value").alias("__total"))
+    reached = running_sum(totals, group, part, F.col("__total"), "__reached", block, levels - 1)
+    before = reached.select(*group, part, (F.col("__reached") - F.col("__total")).alias("__before"))
+    order = Window.partitionBy(*group, part).orderBy(position)
     return (
-        rows.join(before, [*group, "__block"])
+        rows.join(before, [*group, part])
         .withColumn(into, F.col("__before") + F.sum("__value").over(order))
-        .drop("__block", "__value", "__before")
+        .drop(part, "__value", "__before")
     )
 
 

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import is_blank, trim
-from .ordering import BLOCK, running_sum
+from .ordering import BLOCK, block_levels, highest, running_sum
 
 _NUMBERED = r"^((?s:.*))-([1-9][0-9]{0,17})$"
 
@@ -50,7 +50,9 @@ def _contested(bases: DataFrame, taken: DataFrame) -> DataFrame:
     return children.join(parents, "parent").join(taken, F.col("child") == F.col("slug"), "left_anti")
 
 
-def _settle(contested: DataFrame, rows: DataFrame, stored: DataFrame, block: int) -> DataFrame:
+def _settle(
+    contested: DataFrame, rows: DataFrame, stored: DataFrame, block: int, by_time: int, by_slot: int
+) -> DataFrame:
     """Who holds each contested slot: ``by_parent`` is true if a row of the parent base does.
 
     When the parent's rows reach the slot, as many of them are placed as it has free slots
@@ -68,20 +70,20 @@ def _settle(contested: DataFrame, rows: DataFrame, stored: DataFrame, block: int
         ),
         allowMissingColumns=True,
     )
-    early = running_sum(early, ["base"], "spot", F.col("add"), "early", block).where("child is not null")
+    early = running_sum(early, ["base"], "spot", F.col("add"), "early", block, by_time).where("child is not null")
     below = asked.select("base", "child", F.col("slot").alias("spot")).withColumn("add", none).unionByName(
         stored.join(parents, "base", "left_semi").select(
             "base", F.col("slot").alias("spot"), F.lit(1).cast("bigint").alias("add")
         ),
         allowMissingColumns=True,
     )
-    below = running_sum(below, ["base"], "spot", F.col("add"), "stored_below", block).where("child is not null")
+    below = running_sum(below, ["base"], "spot", F.col("add"), "stored_below", block, by_slot).where("child is not null")
     fixed = early.select("base", "child", "slot", "early").join(below.select("child", "stored_below"), "child")
     state = fixed.withColumn("by_parent", F.col("slot") - F.col("stored_below") < F.col("early")).checkpoint()
     while True:
         lost = state.where("by_parent").select(F.col("child").alias("__lost"))
         skipped = running_sum(
-            state, ["base"], "slot", F.when(F.col("by_parent"), 0).otherwise(1), "skipped", block
+            state, ["base"], "slot", F.when(F.col("by_parent"), 0).otherwise(1), "skipped", block, by_slot
         )
         free_below = (
             F.col("slot")
@@ -120,27 +122,35 @@ def unique_slugs(
     rows = changes.select(
         *keys, trim(F.col(wanted)).alias("base"), F.col(ordinal).cast("bigint").alias("ordinal")
     ).where(~is_blank(F.col("base")))
+    # every step below reads these narrow rows, so what they are made from runs once
+    rows = rows.checkpoint()
     taken = stored_slugs.select(F.col(slug_column).alias("slug")).where("slug is not null").distinct()
-    bases = rows.groupBy("base").agg(F.min("ordinal").alias("first"))
-    stored = _stored_slots(taken).join(bases.select("base"), "base", "left_semi")
+    bases = rows.groupBy("base").agg(F.min("ordinal").alias("first"), F.count("*").alias("wanting")).checkpoint()
+    stored = _stored_slots(taken).join(bases.select("base"), "base", "left_semi").checkpoint()
     blocked = stored
     contested = _contested(bases, taken).checkpoint()
+    top_slot = max(highest(stored, F.col("slot")), highest(contested, F.col("slot")))
+    by_time = block_levels(highest(rows, F.col("ordinal")), block)
+    by_slot = block_levels(top_slot, block)
     if not contested.isEmpty():
-        settled = _settle(contested, rows, stored, block)
+        settled = _settle(contested, rows, stored, block, by_time, by_slot)
         held_by_child = settled.where("not by_parent").select("base", "slot")
         lost_base = settled.where("by_parent").select(
             F.col("child").alias("base"), F.lit(0).cast("bigint").alias("slot")
         )
         blocked = stored.unionByName(held_by_child).unionByName(lost_base)
-    numbered = running_sum(rows, ["base"], "ordinal", F.lit(1), "nth", block)
-    nth_blocked = running_sum(blocked, ["base"], "slot", F.lit(1), "nth", block)
+    numbered = running_sum(rows, ["base"], "ordinal", F.lit(1), "nth", block, by_time)
+    nth_blocked = running_sum(blocked, ["base"], "slot", F.lit(1), "nth", block, by_slot)
     free_before = F.col("slot") - F.col("nth") + 1
     jumps = nth_blocked.groupBy("base", free_before.alias("free")).agg(F.count("*").alias("add"))
+    # a block behind the last row of its base is never reached
+    jumps = jumps.join(bases, "base").where("free < wanting")
     line = numbered.withColumn("spot", (F.col("nth") - 1) * 2 + 1).withColumn("add", F.lit(0).cast("bigint"))
     line = line.unionByName(
         jumps.select("base", (F.col("free") * 2).alias("spot"), "add"), allowMissingColumns=True
     )
-    placed = running_sum(line, ["base"], "spot", F.col("add"), "passed", block).where("ordinal is not null")
+    by_spot = block_levels(2 * highest(bases, F.col("wanting")), block)
+    placed = running_sum(line, ["base"], "spot", F.col("add"), "passed", block, by_spot).where("ordinal is not null")
     slot = F.col("nth") - 1 + F.col("passed")
     slug = F.when(slot == 0, F.col("base")).otherwise(F.concat_ws("-", F.col("base"), slot.cast("string")))
     return placed.select(*keys, slug.alias(into))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
@@ -74,6 +74,8 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
     mapped = mapped.select(
         *[F.col(c).cast(target.schema[c].dataType).alias(c) if c in keys else F.col(c) for c in mapped.columns]
     )
+    if any(not policy.allow_empty for policy in spec.orphans) and mapped.isEmpty():
+        raise ValueError(f"{spec.name}: no rows to process, refusing to disable the whole target")
     payload = [c for c in mapped.columns if not c.startswith("__")]
     fields = [c for c in spec.delta if c in payload] or keys
     if spec.order:
@@ -140,11 +142,9 @@ def _with_orphans(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataF
     A policy that matches by the merge key needs no further join: its orphans are the kept rows.
     """
     for policy in spec.orphans:
-        if not policy.allow_empty and rows.where(F.col("action") != KEPT).isEmpty():
-            raise ValueError(f"{spec.name}: no rows were processed, refusing to disable the whole target")
         if list(policy.match_key) != list(spec.keys):
             seen = rows.where(F.col("action") != KEPT)
-            marked = orphan_update(rows.drop("action"), seen, [policy])
+            marked = orphan_update(rows.drop("action"), seen, [replace(policy, allow_empty=True)])
             rows = marked.join(
                 rows.select(*spec.keys, "action"), list(spec.keys), "left"
             ).withColumn("action", F.when(F.col("orphaned"), ORPHAN).otherwise(F.coalesce("action", F.lit(KEPT))))

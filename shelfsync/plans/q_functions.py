@@ -270,7 +270,7 @@ def fn_vault(spark, d):
 
 
 @query("fn_duration", """
-WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity + 0.3 AS short, floor(l_extendedprice / 50) + 0.25 AS middle, l_extendedprice + 0.003 AS long FROM lineitem),
+WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity + 0.3 AS short, floor(l_extendedprice / 50) + 0.2 AS middle, l_extendedprice + 0.003 AS long FROM lineitem),
 u AS (SELECT l_orderkey, l_linenumber, unnest([short, middle, long]) AS s FROM r)
 SELECT l_orderkey, l_linenumber,
        CASE WHEN s < 60 THEN printf('%.1fs', s)
@@ -278,7 +278,7 @@ SELECT l_orderkey, l_linenumber,
             ELSE printf('%dh %dm', CAST(floor(s / 3600) AS BIGINT), CAST(floor(s / 60) AS BIGINT) - CAST(floor(s / 3600) AS BIGINT) * 60) END AS duration
 FROM u""")
 def fn_duration(spark, d):
-    values = F.array(F.col("l_quantity") + 0.3, F.floor(F.col("l_extendedprice") / 50) + 0.25, F.col("l_extendedprice") + 0.003)
+    values = F.array(F.col("l_quantity") + 0.3, F.floor(F.col("l_extendedprice") / 50) + 0.2, F.col("l_extendedprice") + 0.003)
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.explode(values).alias("s"))
     return rows.select("l_orderkey", "l_linenumber", numbers.format_duration(F.col("s")).alias("duration"))
 
