@@ -210,6 +210,7 @@ def run_entities(
     sources: Mapping[str, Callable[[], DataFrame]],
     store,
     names: Sequence[str] | None = None,
+    lookups: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Run the entities in the given order, or only those named. One row of statistics each.
 
@@ -220,7 +221,7 @@ def run_entities(
         if names is not None and spec.name not in names:
             continue
         try:
-            stats = run_entity(spec, sources[spec.source](), store, store.tables())
+            stats = run_entity(spec, sources[spec.source](), store, {**store.tables(), **(lookups or {})})
             rows.append({"entity": spec.name, **stats, "error": None})
         except Exception as error:
             rows.append({"entity": spec.name, "error": str(error).splitlines()[0]})
