@@ -3,73 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
-from .numbers import WHOLE_NUMBER, is_numeric, to_number
-from .text import trim
+from .numbers import NUMERIC, WHOLE_NUMBER
 
 _SEPARATOR = "\x1f"
 
 
+_NUMBER, _WHOLE = f"r'{NUMERIC}'", f"r'{WHOLE_NUMBER}'"
+
+
 def _family(kind: T.DataType) -> str:
     if isinstance(kind, T.BooleanType):
         return "bool"
-    if isinstance(kind, T.NumericType):
-        return "number"
-    return "text"
+    return "number" if isinstance(kind, T.NumericType) else "text"
 
 
-def _differ(a: Column, kind_a: str, b: Column, kind_b: str) -> Column:
-    """Inequality of two non-null values."""
-    if kind_a == kind_b != "text":
-        return a != b
-    if "bool" in (kind_a, kind_b):
-        return _truth(a, kind_a) != _truth(b, kind_b)
-    if kind_a == kind_b:
-        both_whole = a.rlike(WHOLE_NUMBER) & b.rlike(WHOLE_NUMBER)
-        whole = trim(a).try_cast("bigint") != trim(b).try_cast("bigint")
-        numbers = F.when(both_whole, whole).otherwise(to_number(a) != to_number(b))
-        return F.when(is_numeric(a) & is_numeric(b), numbers).otherwise(a != b)
-    number, text = (a, b) if kind_a == "number" else (b, a)
-    return F.coalesce(to_number(text) != number.cast("double"), F.lit(True))
+def _truth(x: str, kind: str) -> str:
+    return {"bool": x, "number": f"({x} <> 0)", "text": f"({x} NOT IN ('', '0'))"}[kind]
 
 
-def _truth(c: Column, kind: str) -> Column:
-    if kind == "bool":
-        return c
-    if kind == "number":
-        return c != 0
-    return ~c.isin("", "0")
+def _is_something(x: str, kind: str) -> str:
+    """Whether a non-null value differs from null: not empty text, zero or false."""
+    return f"{x} <> ''" if kind == "text" else _truth(x, kind)
 
 
-def _is_nothing(c: Column, kind: str) -> Column:
-    """Whether a non-null value equals null: empty text, zero, false."""
-    return c == "" if kind == "text" else ~_truth(c, kind)
+def _differ(a: str, kind_a: str, b: str, kind_b: str) -> str:
+    """Inequality of two values that are not null."""
+    if "bool" in (kind_a, kind_b):
+        return f"{_truth(a, kind_a)} <> {_truth(b, kind_b)}"
+    if kind_a == kind_b == "number":
+        return f"{a} <> {b}"
+    if kind_a == kind_b:
+        return f"""CASE WHEN {a} RLIKE {_WHOLE} AND {b} RLIKE {_WHOLE} THEN try_cast({a} AS bigint) <> try_cast({b} AS bigint)
+            WHEN {a} RLIKE {_NUMBER} AND {b} RLIKE {_NUMBER} THEN try_cast({a} AS double) <> try_cast({b} AS double)
+            ELSE {a} <> {b} END"""
+    number, text = (a, b) if kind_a == "number" else (b, a)
+    return f"CASE WHEN {text} RLIKE {_NUMBER} THEN try_cast({text} AS double) <> CAST({number} AS double) ELSE true END"
 
 
-def loose_ne(a: Column, b: Column, type_a: T.DataType, type_b: T.DataType) -> Column:
-    """Inequality as a loosely typed source sees it; never null.
+def loose_ne_sql(a: str, b: str, type_a: T.DataType, type_b: T.DataType) -> str:
+    """Inequality of two SQL expressions as a loosely typed source sees it; never null.
 
     Numeric texts compare as numbers, null equals empty text, zero and false, and a number
     never equals a text that is not a number. Equal values leave on the first test, so the
     patterns run for changed values only.
     """
     kind_a, kind_b = _family(type_a), _family(type_b)
-    same = a.eqNullSafe(b) if type_a == type_b else F.lit(False)
-    return (
-        F.when(same, False)
-        .when(a.isNull() & b.isNull(), False)
-        .when(a.isNull(), ~_is_nothing(b, kind_b))
-        .when(b.isNull(), ~_is_nothing(a, kind_a))
-        .otherwise(_differ(a, kind_a, b, kind_b))
-    )
+    same = f"WHEN {a} <=> {b} THEN false" if kind_a == kind_b else f"WHEN {a} IS NULL AND {b} IS NULL THEN false"
+    return f"""(CASE {same} WHEN {a} IS NULL THEN {_is_something(b, kind_b)} WHEN {b} IS NULL THEN {_is_something(a, kind_a)}
+        ELSE {_differ(a, kind_a, b, kind_b)} END)"""
+
+
+def loose_ne(a: str, b: str, type_a: T.DataType, type_b: T.DataType) -> Column:
+    return F.expr(loose_ne_sql(a, b, type_a, type_b))
 
 
-def delta_changed(pairs: Sequence[tuple[Column, Column, T.DataType, T.DataType]]) -> Column:
+def delta_changed(pairs: Sequence[tuple[str, str, T.DataType, T.DataType]]) -> Column:
     """True if any pair differs. Without fields every row counts as changed."""
-    return reduce(lambda x, y: x | y, [loose_ne(*p) for p in pairs], F.lit(False)) if pairs else F.lit(True)
+    return F.expr(" OR ".join(loose_ne_sql(*p) for p in pairs)) if pairs else F.lit(True)
 
 
 def file_token(mtime: Column, size: Column, algo: str = "sha256") -> Column:

@@ -27,16 +27,18 @@ def attach_existing(changes: DataFrame, target: DataFrame, keys: Sequence[str],
 
 
 def differs(changes: DataFrame, target: DataFrame, fields: Sequence[str]) -> Column:
-    """Delta test between the ``new`` and ``old`` side of an attached frame."""
+    """Delta test between the ``new`` and ``old`` side of an attached frame.
+
+    A field that one side lacks is null there.
+    """
     pairs = []
     for field in fields:
-        in_new, in_old = field in changes.columns, field in target.columns
-        new = F.col(f"new.{field}") if in_new else F.lit(None).cast("string")
-        old = F.col(f"old.{field}") if in_old else F.lit(None).cast("string")
-        kind_new = changes.schema[field].dataType if in_new else None
-        kind_old = target.schema[field].dataType if in_old else None
-        pairs.append((new, old, kind_new or kind_old, kind_old or kind_new))
-    return delta_changed(pairs)
+        kinds = [f.schema[field].dataType if field in f.columns else None for f in (changes, target)]
+        sides = [f"{side}.`{field}`" if kind else "NULL" for side, kind in zip(("new", "old"), kinds)]
+        known = kinds[0] or kinds[1]
+        if known:
+            pairs.append((*sides, kinds[0] or known, kinds[1] or known))
+    return delta_changed(pairs) if pairs or not fields else F.lit(False)
 
 
 def action(exists: Column, changed: Column) -> Column:
@@ -79,18 +81,29 @@ def apply_flags(
     return df.select(*[c.alias(n) for n, c in values.items()])
 
 
-def changes_something(df: DataFrame, values: Mapping[str, Column]) -> Column:
-    """True where setting the values would alter the row (loose comparison)."""
-    probe = df.select(*[v.alias(n) for n, v in values.items()]).schema
-    return delta_changed(
-        [(F.col(n), v, df.schema[n].dataType, probe[n].dataType) for n, v in values.items()]
+def set_where_different(df: DataFrame, rows: Column, values: Mapping[str, Column], mark: str) -> DataFrame:
+    """Set columns on the given rows where that alters the row (loosely compared).
+
+    Column ``mark`` tells the rows that were altered.
+    """
+    fresh = df.withColumns({f"__set_{n}": v for n, v in values.items()})
+    pairs = [(f"`{n}`", f"`__set_{n}`", df.schema[n].dataType, fresh.schema[f"__set_{n}"].dataType) for n in values]
+    marked = fresh.withColumn(mark, F.coalesce(rows & delta_changed(pairs), F.lit(False)))
+    return marked.select(
+        *[
+            F.when(F.col(mark), F.col(f"__set_{c}").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+            if c in values
+            else F.col(c)
+            for c in df.columns
+        ],
+        mark,
     )
 
 
 def row_hash_delta(df: DataFrame, seen: str = "last_seen_hash", imported: str = "last_imported_hash") -> Column:
     """Changed when the hash seen now is not the one of the last import."""
     kinds = df.schema[seen].dataType, df.schema[imported].dataType
-    return loose_ne(F.col(seen), F.col(imported), *kinds)
+    return loose_ne(f"`{seen}`", f"`{imported}`", *kinds)
 
 
 def fan_out(df: DataFrame, keys: Sequence[str], pattern: str = "Bild{n}", first: int = 1, last: int = 10) -> DataFrame:

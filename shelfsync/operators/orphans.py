@@ -10,7 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .delta import changes_something
+from .delta import set_where_different
 from .mapping import as_column
 
 
@@ -52,17 +52,10 @@ def orphan_update(target: DataFrame, processed: DataFrame, policies: Sequence[Or
         seen = processed.select(*[F.col(k).alias(f"__seen_{k}") for k in keys]).distinct()
         seen = seen.withColumn("__seen", F.lit(True))
         on = reduce(and_, [result[k] == seen[f"__seen_{k}"] for k in keys])
-        joined = result.join(seen, on, "left")
-        values = policy.values()
-        hit = F.col("__seen").isNull() & policy.candidates() & changes_something(result, values)
-        hit = F.coalesce(hit, F.lit(False))
-        result = joined.withColumn("__hit", hit).select(
-            *[
-                F.when(F.col("__hit"), values[c].cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-                if c in values
-                else F.col(c)
-                for c in target.columns
-            ],
-            (F.col("orphaned") | F.col("__hit")).alias("orphaned"),
+        joined = result.join(seen, on, "left").select(*result.columns, "__seen")
+        missing = F.col("__seen").isNull() & policy.candidates()
+        result = set_where_different(joined, missing, policy.values(), "__hit").withColumn(
+            "orphaned", F.col("orphaned") | F.col("__hit")
         )
+        result = result.select(*target.columns, "orphaned")
     return result

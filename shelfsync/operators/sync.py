@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.compare import loose_ne
+from ..functions.compare import delta_changed
 from ..functions.text import is_blank
-from .delta import INSERT, UNCHANGED, UPDATE, action, attach_existing, changes_something, differs, flag_values
+from .delta import INSERT, UNCHANGED, UPDATE, action, attach_existing, differs, flag_values, set_where_different
 from .mapping import as_column, has_keys
 from .ordering import fold_duplicates
 from .orphans import OrphanPolicy, orphan_update
@@ -82,23 +82,16 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
         mapped = fold_duplicates(mapped, keys, _run_order(spec), fields, "__previous")
     joined = attach_existing(mapped, target, keys, "full_outer")
     incoming, stored = F.col("new.__new").isNotNull(), F.col("old.__old").isNotNull()
-    against_stored = differs(mapped, target, spec.delta)
-    exists, changed = stored, against_stored
-    repeated = F.lit(False)
-    if spec.order:
-        repeated = F.col("new.__previous").isNotNull()
-        against_previous = reduce(
-            lambda a, b: a | b,
-            [
-                loose_ne(F.col(f"new.{c}"), F.col(f"new.__previous.{c}"), mapped.schema[c].dataType, mapped.schema[c].dataType)
-                for c in spec.delta
-                if c in payload
-            ],
-            F.lit(False),
-        ) if spec.delta else F.lit(True)
-        exists = stored | repeated
-        changed = F.when(repeated, against_previous).otherwise(against_stored)
-    step = action(exists, changed)
+    repeated = F.col("new.__previous").isNotNull() if spec.order else F.lit(False)
+    previous = [
+        (f"new.`{c}`", f"new.__previous.`{c}`", mapped.schema[c].dataType, mapped.schema[c].dataType)
+        for c in spec.delta
+        if c in payload
+    ]
+    # tested once per row, and read by every flag column below
+    joined = joined.withColumn("__changed", differs(mapped, target, spec.delta))
+    step = F.when(repeated, delta_changed(previous)).otherwise(F.col("__changed")) if spec.order else F.col("__changed")
+    joined = joined.withColumn("__step", F.when(incoming, action(stored | repeated, step)).otherwise(KEPT))
 
     values: dict[str, Column] = {c: F.col(f"old.{c}") for c in target.columns}
     for c in payload:
@@ -106,18 +99,15 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
             continue
         values[c] = F.when(incoming, F.col(f"new.{c}")).otherwise(values[c]) if c in values else F.col(f"new.{c}")
     if spec.order:
-        earlier_insert = incoming & repeated & ~stored
-        earlier_change = incoming & repeated & stored & against_stored
-        values = flag_values(values, earlier_insert, spec.on_insert)
-        values = flag_values(values, earlier_change, spec.on_changed)
+        values = flag_values(values, incoming & repeated & ~stored, spec.on_insert)
+        values = flag_values(values, incoming & repeated & stored & F.col("__changed"), spec.on_changed)
     for name, flags in ((INSERT, spec.on_insert), (UPDATE, spec.on_changed), (UNCHANGED, spec.on_unchanged)):
-        values = flag_values(values, incoming & (step == name), flags)
+        values = flag_values(values, F.col("__step") == name, flags)
 
-    typed = {c: values[c].cast(target.schema[c].dataType) for c in target.columns}
     extra = [F.col(f"new.{spec.slug}").alias("__wanted"), F.col("new.__ordinal").alias("__ordinal")] if spec.slug else []
     result = joined.select(
-        *[v.alias(c) for c, v in typed.items()],
-        F.when(incoming, step).otherwise(KEPT).alias("action"),
+        *[values[c].cast(target.schema[c].dataType).alias(c) for c in target.columns],
+        F.col("__step").alias("action"),
         *extra,
     )
     if spec.slug:
@@ -150,18 +140,9 @@ def _with_orphans(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataF
             ).withColumn("action", F.when(F.col("orphaned"), ORPHAN).otherwise(F.coalesce("action", F.lit(KEPT))))
             rows = rows.select(*target.columns, "action")
             continue
-        values = policy.values()
-        hit = (F.col("action") == KEPT) & policy.candidates() & changes_something(rows, values)
-        hit = F.coalesce(hit, F.lit(False))
-        rows = rows.withColumn("__hit", hit).select(
-            *[
-                F.when(F.col("__hit"), values[c].cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-                if c in values
-                else F.col(c)
-                for c in target.columns
-            ],
-            F.when(F.col("__hit"), ORPHAN).otherwise(F.col("action")).alias("action"),
-        )
+        kept = (F.col("action") == KEPT) & policy.candidates()
+        marked = set_where_different(rows, kept, policy.values(), "__hit")
+        rows = marked.withColumn("action", F.when(F.col("__hit"), ORPHAN).otherwise(F.col("action"))).drop("__hit")
     return rows
 
 
@@ -221,7 +202,7 @@ def run_entities(
         if names is not None and spec.name not in names:
             continue
         try:
-            stats = run_entity(spec, sources[spec.source](), store, {**store.tables(), **(lookups or {})})
+            stats = run_entity(spec, sources[spec.source](), store, ChainMap(lookups or {}, store.tables()))
             rows.append({"entity": spec.name, **stats, "error": None})
         except Exception as error:
             rows.append({"entity": spec.name, "error": str(error).splitlines()[0]})

@@ -14,6 +14,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 _PREFIX = "snapshot="
 
 
+class _Tables(Mapping):
+    def __init__(self, store: SnapshotStore):
+        self._store = store
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if not self._store.exists(name):
+            raise KeyError(name)
+        return self._store.read(name)
+
+    def __iter__(self):
+        return iter(self._store.names())
+
+    def __len__(self) -> int:
+        return len(self._store.names())
+
+
 class SnapshotStore:
     """Tables below one root folder, which all executors must be able to reach."""
 
@@ -58,8 +74,9 @@ class SnapshotStore:
         df.withColumnsRenamed({c: f"__{c}" for c in drop_on_read}).write.mode("error").parquet(path)
         return self.spark.read.parquet(path).withColumnsRenamed({f"__{c}": c for c in drop_on_read})
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {n: self.read(n) for n in self.names()}
+    def tables(self) -> Mapping[str, DataFrame]:
+        """All tables by name; each is opened when it is asked for."""
+        return _Tables(self)
 
     def truncate_all(self, names: Sequence[str] | None = None) -> DataFrame:
         """Empty the tables; the result reports the rows removed from each."""
