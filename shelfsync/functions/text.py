@@ -9,8 +9,8 @@ from pyspark.sql import Column, functions as F
 # The characters removed by a trim.
 TRIM_CHARS = " \t\n\r\0\x0b"
 
-# Spelling of the German letters in slugs and keys.
-UMLAUTS = {"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "Ä": "ae", "Ö": "oe", "Ü": "ue"}
+# Spelling of the German letters, in lower case, in slugs and keys.
+UMLAUTS = {"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss"}
 
 # Symbols that get their own word in a slug.
 SLUG_WORDS = {"&": " und "}
@@ -66,10 +66,15 @@ def normalize_title(c: Column) -> Column:
     return F.coalesce(basename(trim(c)), F.lit(""))
 
 
-def _spell_umlauts(c: Column) -> Column:
+def _plain_letters(c: Column, drop_accents: bool) -> Column:
+    """Lower case with umlauts spelled out; text that is all ASCII skips the replacements."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    spelled = low
     for letter, spelling in UMLAUTS.items():
-        c = F.replace(c, F.lit(letter), F.lit(spelling))
-    return c
+        spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+    if drop_accents:
+        spelled = F.translate(spelled, MARKED_LETTERS, PLAIN_LETTERS)
+    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(spelled)
 
 
 def _squeeze(c: Column, separator: str) -> Column:
@@ -79,17 +84,16 @@ def _squeeze(c: Column, separator: str) -> Column:
 
 def slugify(c: Column, translit: bool = True) -> Column:
     """URL slug. With ``translit`` the ampersand is spelled out and accents are dropped."""
-    slug = F.lower(_spell_umlauts(F.coalesce(c, F.lit(""))))
+    slug = _plain_letters(c, drop_accents=translit)
     if translit:
         for symbol, word in SLUG_WORDS.items():
             slug = F.replace(slug, F.lit(symbol), F.lit(word))
-        slug = F.translate(slug, MARKED_LETTERS, PLAIN_LETTERS)
     return _squeeze(slug, "-")
 
 
 def normalize_key(c: Column) -> Column:
     """Comparison key of a name: letters and digits joined by underscores."""
-    return _squeeze(F.lower(_spell_umlauts(F.coalesce(c, F.lit("")))), "_")
+    return _squeeze(_plain_letters(c, drop_accents=False), "_")
 
 
 def fill_placeholder(c: Column, name: Column) -> Column:

@@ -111,13 +111,13 @@ def fan_out(df: DataFrame, keys: Sequence[str], pattern: str = "Bild{n}", first:
 
     Done within each row, without a shuffle.
     """
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("n"), F.col(pattern.replace("{n}", str(i))).alias("name"))
-            for i in range(first, last + 1)
-        ]
-    )
-    filled = df.select(*keys, F.filter(entries, lambda e: ~is_blank(e["name"])).alias("__entries"))
-    names = F.transform("__entries", lambda e: e["name"])
-    unique = F.filter("__entries", lambda e, i: F.array_position(names, e["name"]) == i + 1)
-    return filled.select(*keys, F.explode(unique).alias("__e")).select(*keys, "__e.n", "__e.name")
+    entries, earlier = [], []
+    for n in range(first, last + 1):
+        name = F.col(pattern.replace("{n}", str(n)))
+        fresh = ~is_blank(name)
+        if earlier:
+            fresh = fresh & ~name.isin(*[F.coalesce(e, F.lit("")) for e in earlier])
+        entries.append(F.when(fresh, F.struct(F.lit(n).alias("n"), name.alias("name"))))
+        earlier.append(name)
+    rows = df.select(*keys, F.explode(F.array(*entries)).alias("__e")).where(F.col("__e").isNotNull())
+    return rows.select(*keys, "__e.n", "__e.name")
