@@ -7,6 +7,8 @@ text header are sent to Python, in Arrow batches; all other rows send a null.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -98,13 +100,22 @@ def _rtf_text(values: pd.Series) -> pd.Series:
     return values.map(rtf_text, na_action="ignore")
 
 
-def clean_lines(c: Column) -> Column:
-    """Tidy white space, drop a leading list of words closed by a semicolon, join lines."""
+# What the tidying patterns below can match; text without any of it skips them.
+_UNTIDY = ("\r", "\t", "  ", " \n", "\n\n\n", ";")
+
+
+def _tidy(c: Column) -> Column:
     text = F.regexp_replace(c, r"\r\n?", "\n")
     text = F.regexp_replace(text, r"[ \t]+\n", "\n")
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
     text = F.regexp_replace(text, r"[ \t]{2,}", " ")
-    text = F.regexp_replace(text, r"\A\s*[\w\s\-,.]+;", "")
+    return F.regexp_replace(text, r"\A\s*[\w\s\-,.]+;", "")
+
+
+def clean_lines(c: Column) -> Column:
+    """Tidy white space, drop a leading list of words closed by a semicolon, join lines."""
+    untidy = reduce(or_, [F.contains(c, F.lit(mark)) for mark in _UNTIDY])
+    text = F.when(untidy, _tidy(c)).otherwise(c)
     lines = F.transform(F.split(text, "\n"), trim)
     return F.array_join(F.filter(lines, lambda line: line != ""), "<br>")
 

@@ -13,7 +13,7 @@ from ..functions.compare import delta_changed
 from ..functions.text import is_blank
 from .delta import INSERT, UNCHANGED, UPDATE, action, attach_existing, differs, flag_values, set_where_different
 from .mapping import as_column, has_keys
-from .ordering import fold_duplicates
+from .ordering import assign_ids, first_wins, fold_duplicates
 from .orphans import OrphanPolicy, orphan_update
 from .slugs import unique_slugs
 
@@ -27,6 +27,7 @@ class EntitySpec:
     ``columns`` maps target columns to Columns over the source rows. ``prepare`` may join
     lookups or fix rows after the projection. ``order`` makes the run order of equal keys
     explicit; ``slug`` names a column to keep unique, with a unique integer ``ordinal``.
+    ``surrogate`` names an id column that new rows fill in the order of the run.
     """
 
     name: str
@@ -43,6 +44,7 @@ class EntitySpec:
     prepare: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame] | None = None
     slug: str | None = None
     ordinal: str | None = None
+    surrogate: str | None = None
 
     def needs_existing(self) -> bool:
         """Without delta and flags the write is blind and stored rows need not be compared."""
@@ -78,8 +80,11 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
         raise ValueError(f"{spec.name}: no rows to process, refusing to disable the whole target")
     payload = [c for c in mapped.columns if not c.startswith("__")]
     fields = [c for c in spec.delta if c in payload] or keys
+    ids = _new_ids(spec, mapped, target) if spec.surrogate else None
     if spec.order:
         mapped = fold_duplicates(mapped, keys, _run_order(spec), fields, "__previous")
+    if ids is not None:
+        mapped = mapped.join(ids, keys, "left")
     joined = attach_existing(mapped, target, keys, "full_outer")
     incoming, stored = F.col("new.__new").isNotNull(), F.col("old.__old").isNotNull()
     repeated = F.col("new.__previous").isNotNull() if spec.order else F.lit(False)
@@ -98,6 +103,8 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
         if spec.slug == c:
             continue
         values[c] = F.when(incoming, F.col(f"new.{c}")).otherwise(values[c]) if c in values else F.col(f"new.{c}")
+    if ids is not None:
+        values[spec.surrogate] = F.coalesce(F.col(f"old.{spec.surrogate}"), F.col("new.__id"))
     if spec.order:
         values = flag_values(values, incoming & repeated & ~stored, spec.on_insert)
         values = flag_values(values, incoming & repeated & stored & F.col("__changed"), spec.on_changed)
@@ -115,6 +122,19 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
     return _with_orphans(spec, result, target)
 
 
+def _new_ids(spec: EntitySpec, mapped: DataFrame, target: DataFrame) -> DataFrame:
+    """Ids for the keys the target does not have, above its highest, by first row in the run.
+
+    Only keys and order columns take part, so the payload is not shuffled for it.
+    """
+    keys, order = list(spec.keys), _run_order(spec)
+    rows = mapped.select(*keys, *[c.split()[0] for c in order])
+    rows = first_wins(rows, keys, order) if order else rows
+    fresh = rows.join(target.select(*keys), keys, "left_anti")
+    top = target.agg(F.max(spec.surrogate)).first()[0] or 0
+    return assign_ids(fresh, [*order, *keys], top, "__id").select(*keys, "__id")
+
+
 def _with_slugs(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataFrame:
     """A stored slug stays; the other rows of the run get a unique one."""
     keys = list(spec.keys)

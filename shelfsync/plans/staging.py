@@ -119,7 +119,9 @@ def stage_entities(now: str, article_suffix: str = "", category_title_suffix: st
     off = {"status": 0, "change": 1}
 
     def entity(name: str, source: str, target: str, columns: dict, delta: str, **rest) -> EntitySpec:
-        return EntitySpec(name, source, target, columns, STAGING_TABLES[target].merge_keys(), delta.split(), **rest)
+        table = STAGING_TABLES[target]
+        surrogate = next((n for n, f in table.definitions().items() if f.auto_increment), None)
+        return EntitySpec(name, source, target, columns, table.merge_keys(), delta.split(), surrogate=surrogate, **rest)
 
     def vault(name: str, source: str, target: str) -> EntitySpec:
         same = "checksum size mime source_path stored_file stored_path stored_at".split()
