@@ -25,11 +25,22 @@ def lookup_key(c: Column) -> Column:
 
 def one_per_key(dim: DataFrame, key: Column, **values: Column) -> DataFrame:
     """Dimension with one row per key; of several rows the smallest values win."""
-    rows = dim.select(key.alias("__key"), F.struct(*[c.alias(n) for n, c in values.items()]).alias("__row"))
-    best = rows.where(F.col("__key").isNotNull()).groupBy("__key").agg(F.min("__row").alias("__row"))
+    rows = dim.select(key.alias("__key"), *[c.alias(n) for n, c in values.items()]).where(F.col("__key").isNotNull())
+    if len(values) == 1:
+        return rows.groupBy("__key").agg(*[F.min(n).alias(n) for n in values])
+    best = rows.groupBy("__key").agg(F.min(F.struct(*values)).alias("__row"))
     return best.select("__key", *[F.col(f"__row.{n}").alias(n) for n in values])
 
 
+def spread_blanks(df: DataFrame, key: Column) -> Column:
+    """Join key in which blank keys are spread over many values that no dimension holds.
+
+    A left join sends all null keys to one task; trimmed keys never start with a zero byte.
+    """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string")
+    return F.coalesce(key, F.concat(F.lit("\0"), part))
+
+
 def resolve_fk(
     df: DataFrame,
     column: str,
@@ -44,7 +55,7 @@ def resolve_fk(
     ``on_missing``: ``null``, ``default`` or ``keep`` (the original text stays, ids become text).
     """
     ids = one_per_key(dim, lookup_key(F.col(key)), __id=F.col(id_column))
-    joined = df.join(ids, lookup_key(df[column]) == F.col("__key"), "left")
+    joined = df.join(ids, spread_blanks(df, lookup_key(df[column])) == F.col("__key"), "left")
     found = F.col("__id")
     result = {
         "null": lambda: found,
@@ -77,11 +88,11 @@ def article_slug(
     by_id = categories.select(F.col("id").cast("bigint").alias("__id"), trim(F.col("seo_slug")).alias("__path"))
     named_master = article_master_number(F.col(master))
     rows = (
-        changes.join(stored, lookup_key(changes[model]) == stored["__key"], "left")
+        changes.join(stored, spread_blanks(changes, lookup_key(changes[model])) == stored["__key"], "left")
         .drop("__key")
-        .join(masters, named_master == masters["__key"], "left")
+        .join(masters, spread_blanks(changes, named_master) == masters["__key"], "left")
         .drop("__key")
-        .join(by_code, lookup_key(changes[category]) == by_code["__key"], "left")
+        .join(by_code, spread_blanks(changes, lookup_key(changes[category])) == by_code["__key"], "left")
         .drop("__key")
         .withColumn("__use", F.coalesce("__master_category", "__category"))
     )
@@ -111,7 +122,7 @@ def category_meta(
     """
     key = lambda c: F.when(normalize_key(c) != "", normalize_key(c))
     kept = one_per_key(texts, key(F.col(text_name)), __text=trim(F.col(field)))
-    joined = df.join(kept, key(df[name]) == kept["__key"], "left")
+    joined = df.join(kept, spread_blanks(df, key(df[name])) == kept["__key"], "left")
     other = rtf_to_html(df[fallback]) if rich_fallback else df[fallback]
     other = F.when(~is_blank(other), trim(other))
     own_name = F.coalesce(trim(df[name]), F.lit(""))

@@ -88,22 +88,38 @@ def assign_ids(df: DataFrame, order: Sequence[str], max_id: int = 0, into: str =
     return global_number(df.drop(into), order, into, max_id + 1)
 
 
-def page_by_row_number(df: DataFrame, order: Sequence[str], offset: int, limit: int, into: str = "row_no") -> DataFrame:
+# Rows up to the end of a page that are gathered at once; pages further in are cut from a global sort.
+PAGE_REACH = 1 << 20
+
+
+def page_by_row_number(
+    df: DataFrame, order: Sequence[str], offset: int, limit: int, into: str = "row_no", reach: int = PAGE_REACH
+) -> DataFrame:
     """Rows ``offset + 1`` to ``offset + limit`` with their number.
 
-    Only the rows up to the end of the page are gathered, and each task sends no more.
+    Near the start only the rows up to the end of the page are gathered, no more per task.
     """
+    if offset + limit > reach:
+        return global_number(df, order, into).where(F.col(into).between(offset + 1, offset + limit))
     columns = sort_columns(order)
     head = df.orderBy(*columns).limit(offset + limit)
     number = F.row_number().over(Window.orderBy(*columns)).cast("bigint")
     return head.withColumn(into, number).where(F.col(into) > offset)
 
 
-def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
-    """One page of a table; a page beyond the end shows the last one."""
-    pages = max(1, -(-df.count() // size))
+def page(df: DataFrame, order: Sequence[str], number: int, size: int, reach: int = PAGE_REACH) -> DataFrame:
+    """One page of a table; a page beyond the end shows the last one.
+
+    A page near the end is found from the end, with the order reversed.
+    """
+    total = df.count()
+    pages = max(1, -(-total // size))
     offset = (min(max(1, number), pages) - 1) * size
-    return df.orderBy(*sort_columns(order)).offset(offset).limit(size)
+    if offset + size <= reach:
+        return df.orderBy(*sort_columns(order)).offset(offset).limit(size)
+    if total - offset <= reach:
+        return df.orderBy(*_reverse(order)).limit(total - offset).orderBy(*sort_columns(order)).limit(size)
+    return page_by_row_number(df, order, offset, size, "__no", reach).orderBy("__no").drop("__no")
 
 
 def keep_latest(df: DataFrame, per: Sequence[str], order: Sequence[str], n: int, spread: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,7 +16,7 @@ from ..functions.text import is_blank
 from .delta import INSERT, UNCHANGED, UPDATE, action, attach_existing, differs, flag_values, set_where_different
 from .mapping import as_column, has_keys
 from .ordering import assign_ids, first_wins, fold_duplicates
-from .orphans import OrphanPolicy, orphan_update
+from .orphans import OrphanPolicy
 from .slugs import unique_slugs
 
 ORPHAN, KEPT = "orphan", "kept"
@@ -150,19 +152,19 @@ def _with_orphans(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataF
     """Rows of the target no change accounts for, updated by the policies.
 
     A policy that matches by the merge key needs no further join: its orphans are the kept rows.
+    Otherwise a kept row may match a row of the run by the other key, and is no orphan then.
     """
     for policy in spec.orphans:
+        unseen, marked = F.col("action") == KEPT, rows
         if list(policy.match_key) != list(spec.keys):
-            seen = rows.where(F.col("action") != KEPT)
-            marked = orphan_update(rows.drop("action"), seen, [replace(policy, allow_empty=True)])
-            rows = marked.join(
-                rows.select(*spec.keys, "action"), list(spec.keys), "left"
-            ).withColumn("action", F.when(F.col("orphaned"), ORPHAN).otherwise(F.coalesce("action", F.lit(KEPT))))
-            rows = rows.select(*target.columns, "action")
-            continue
-        kept = (F.col("action") == KEPT) & policy.candidates()
-        marked = set_where_different(rows, kept, policy.values(), "__hit")
-        rows = marked.withColumn("action", F.when(F.col("__hit"), ORPHAN).otherwise(F.col("action"))).drop("__hit")
+            names = {k: f"__seen_{k}" for k in policy.match_key}
+            seen = rows.where(~unseen).select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+            on = reduce(and_, [F.col(k) == F.col(n) for k, n in names.items()])
+            marked = rows.join(seen.withColumn("__seen", F.lit(True)), on, "left").drop(*names.values())
+            unseen = F.col("__seen").isNull()
+        marked = set_where_different(marked, unseen & policy.candidates(), policy.values(), "__hit")
+        rows = marked.withColumn("action", F.when(F.col("__hit"), ORPHAN).otherwise(F.col("action")))
+        rows = rows.select(*target.columns, "action")
     return rows
 
 

@@ -15,14 +15,14 @@ def _path(segments: Column) -> Column:
 
 
 def category_paths(
-    tree: DataFrame, id_column: str = "id", parent_column: str = "parent", name_column: str = "name", max_depth: int = 64
+    tree: DataFrame, id_column: str = "id", parent_column: str = "parent", name_column: str = "name"
 ) -> DataFrame:
     """Columns id, path (null within a cycle) and depth for every node.
 
     Each round joins the open nodes with the chain above them and so doubles the known
     height: a tree of depth d takes log2(d) joins. A node without a parent, or with one that
-    is not in the table, is a root. Nodes still open after ``max_depth`` levels lie in or
-    below a cycle and come back with a null path.
+    is not in the table, is a root. While open nodes hang from a root, each round closes some;
+    once a round closes none, the rest lie in or below a cycle and come back with a null path.
     """
     node = F.col(id_column).cast("string")
     parent = trim(F.col(parent_column).cast("string"))
@@ -36,17 +36,16 @@ def category_paths(
         "id", F.col("__known").alias("up"), "segments"
     )
     chains = chains.checkpoint()
-    height = 1
-    while height < max_depth and not chains.where("up is not null").isEmpty():
+    open_nodes, before = chains.where("up is not null").count(), None
+    while open_nodes and open_nodes != before:
         above = chains.select(
             F.col("id").alias("__id"), F.col("up").alias("__up"), F.col("segments").alias("__segments")
         )
-        longer = F.when(F.col("__id").isNotNull(), F.concat("__segments", "segments")).otherwise(F.col("segments"))
-        chains = chains.join(above, chains["up"] == above["__id"], "left").select(
-            "id", F.col("__up").alias("up"), longer.alias("segments")
+        lengthened = chains.where("up is not null").join(above, F.col("up") == F.col("__id")).select(
+            "id", F.col("__up").alias("up"), F.concat("__segments", "segments").alias("segments")
         )
-        chains = chains.checkpoint()
-        height *= 2
+        chains = chains.where("up is null").unionByName(lengthened).checkpoint()
+        open_nodes, before = chains.where("up is not null").count(), open_nodes
     closed = F.col("up").isNull()
     return chains.select(
         "id",

@@ -74,6 +74,14 @@ class SnapshotStore:
         df.withColumnsRenamed({c: f"__{c}" for c in drop_on_read}).write.mode("error").parquet(path)
         return self.spark.read.parquet(path).withColumnsRenamed({f"__{c}": c for c in drop_on_read})
 
+    def drop_old(self, name: str, keep: int = 2) -> int:
+        """Delete all but the newest complete snapshots; returns how many went."""
+        old = self._numbers(name, complete=True)[: -max(1, keep)]
+        for number in old:
+            path = self._path(name, f"{_PREFIX}{number:08d}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(old)
+
     def tables(self) -> Mapping[str, DataFrame]:
         """All tables by name; each is opened when it is asked for."""
         return _Tables(self)

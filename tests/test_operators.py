@@ -231,3 +231,25 @@ def test_status_of_idle_job(spark):
 def test_jdbc_options():
     options = tables.jdbc_options("mysql", "shop", "db", 3306, user="u", partitionColumn="id", numPartitions=8)
     assert options["url"] == "jdbc:mysql://db:3306/shop" and options["numPartitions"] == "8"
+
+
+def test_pages_from_start_end_and_middle(spark):
+    rows = spark.range(100).select((F.col("id") % 10).alias("a"), "id").repartition(5)
+    order = ["a desc", "id"]
+    whole = [tuple(r) for r in rows.orderBy(F.desc("a"), "id").collect()]
+    for number, expected in ((1, whole[:7]), (8, whole[49:56]), (15, whole[98:]), (99, whole[98:])):
+        for reach in (1 << 20, 10):
+            assert [tuple(r) for r in ordering.page(rows, order, number, 7, reach).collect()] == expected
+    numbered = ordering.page_by_row_number(rows, order, 20, 5, reach=10)
+    assert sorted((r["row_no"], r["id"]) for r in numbered.collect()) == [(i + 1, whole[i][1]) for i in range(20, 25)]
+
+
+def test_blank_keys_are_spread_and_find_nothing(spark):
+    from shelfsync.operators import lookups
+
+    rows = spark.createDataFrame([(i, " " if i % 3 else None, "k1 ") for i in range(60)], "i int, blank string, key string")
+    dim = spark.createDataFrame([("k1", 7), ("k1", 9), ("", 8), (None, 8)], "code string, id int")
+    assert {r["blank"] for r in lookups.resolve_fk(rows, "blank", dim, "code").collect()} == {None}
+    assert [r["key"] for r in lookups.resolve_fk(rows, "key", dim, "code").collect()] == [7] * 60
+    spread = rows.select(lookups.spread_blanks(rows, lookups.lookup_key(F.col("blank"))).alias("k")).distinct().count()
+    assert spread > 30

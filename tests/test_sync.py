@@ -212,3 +212,19 @@ def test_staging_run(spark, store):
     assert relations == {("x.jpg", "article", "A1"), ("y.jpg", "category", "8"), ("b.pdf", "article", "A1")}
     again = rows(sync.run_entities(spark, entities, sources, store, ["media_images", "file_vault_images", "media_relation_images"]), "entity")
     assert all((s["inserted"], s["updated"], s["orphans"]) == (0, 0, 0) for s in again.values())
+
+
+def test_orphans_by_another_key_than_the_merge_key(spark):
+    source = spark.createDataFrame([("a", "L1", "1")], SOURCE)
+    target = spark.createDataFrame(
+        [("a", "L1", "1", 1, 0, None), ("b", "L1", "2", 1, 0, None), ("c", "L3", "3", 1, 0, None)], TARGET
+    )
+    entity = spec(orphans=(OrphanPolicy(("name",), {"status": 0}),))
+    found = rows(sync.classify_entity(entity, source, target))
+    assert {k: (r["status"], r["action"]) for k, r in found.items()} == {"a": (1, "unchanged"), "b": (1, "kept"), "c": (0, "orphan")}
+
+
+def test_old_snapshots_are_dropped(spark, store):
+    for i in range(4):
+        store.write("t", spark.range(i + 1))
+    assert store.drop_old("t", keep=2) == 2 and store.read("t").count() == 4
