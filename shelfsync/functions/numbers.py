@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
 
 from .text import is_blank, trim
@@ -88,6 +90,12 @@ def iso_time(ts: Column) -> Column:
     return F.date_format(ts.cast("timestamp"), ISO_FORMAT)
 
 
+def now(run_time: datetime) -> Column:
+    """Time of the run as text. It is passed in, so that a repeated task writes the same."""
+    fixed = run_time if run_time.tzinfo else run_time.replace(tzinfo=timezone.utc)
+    return F.lit(fixed.isoformat(timespec="seconds"))
+
+
 def format_duration(seconds: Column) -> Column:
     """45.2s, 1m 23s or 2h 5m."""
     s = seconds.cast("double")

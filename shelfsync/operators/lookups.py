@@ -136,15 +136,14 @@ def rebuild_links(links: DataFrame, articles: DataFrame, attributes: DataFrame,
 
     a = one_per_key(articles, F.col("model"), article_id=F.col("id"))
     t = one_per_key(attributes, F.col("name"), attribute_id=F.col("id"))
-    number = F.regexp_extract(links["status"].cast("string"), r"^\s*([+-]?\d+)", 1)
-    status = F.when(links["status"].isNull(), 1).otherwise(F.coalesce(number.try_cast("bigint"), F.lit(0)))
-    status = status.cast("bigint").alias("status")
     extra = [c for c in dict.fromkeys(o.split()[0] for o in order) if c not in ("value", "status")]
     rows = (
         links.join(a.withColumnRenamed("__key", "__model"), links["article"] == F.col("__model"))
         .join(t.withColumnRenamed("__key", "__name"), links["attribute"] == F.col("__name"))
-        .select("article_id", "attribute_id", status, links["value"], *[links[c] for c in extra])
+        .select("article_id", "attribute_id", links["status"], links["value"], *[links[c] for c in extra])
     )
+    number = F.regexp_extract(F.col("status").cast("string"), r"^\s*([+-]?\d+)", 1).try_cast("bigint")
+    status = F.when(F.col("status").isNull(), F.lit(1).cast("bigint")).otherwise(F.coalesce(number, F.lit(0)))
     return first_wins(rows, ["article_id", "attribute_id"], order).select(
-        "article_id", "attribute_id", "status", "value"
+        "article_id", "attribute_id", status.alias("status"), "value"
     )

@@ -15,6 +15,7 @@ from ..functions.compare import delta_changed
 from ..functions.text import is_blank
 from .delta import INSERT, UNCHANGED, UPDATE, action, attach_existing, differs, flag_values, set_where_different
 from .mapping import as_column, has_keys
+from .merge import replace_merge
 from .ordering import assign_ids, first_wins, fold_duplicates
 from .orphans import OrphanPolicy
 from .slugs import unique_slugs
@@ -207,6 +208,23 @@ def run_entity(spec: EntitySpec, source: DataFrame, store, tables: Mapping[str,
     return {**intake_stats(spec, source, tables).first().asDict(), **sync_stats(written).first().asDict()}
 
 
+def run_entity_batch(spec: EntitySpec, source: DataFrame, store, tables: Mapping[str, DataFrame] | None = None) -> dict[str, Any]:
+    """Set-based variant without delta, flags and orphans: matched rows are replaced as a whole."""
+    target = store.read(spec.target)
+    mapped = map_entity(spec, source, tables or {})
+    rows = mapped.where(has_keys(spec.keys))
+    top = target.agg(F.max(spec.surrogate)).first()[0] or 0 if spec.surrogate else 0
+    order = _run_order(spec)
+    before = target.count()
+    wide = target.withColumns({c.split()[0]: F.lit(None).cast(rows.schema[c.split()[0]].dataType) for c in order})
+    columns = [c for c in rows.columns if c in wide.columns]
+    merged = replace_merge(wide, rows.select(*columns), list(spec.keys), order, spec.surrogate, top)
+    written = store.write(spec.target, merged.select(*target.columns))
+    stats = intake_stats(spec, source, tables).first().asDict()
+    inserted = written.count() - before
+    return {**stats, "inserted": inserted, "updated": stats["processed"] - stats["skipped"] - inserted}
+
+
 def run_entities(
     spark: SparkSession,
     specs: Sequence[EntitySpec],

@@ -31,6 +31,7 @@ def category_paths(
         F.when((parent != "") & (parent != "0"), parent).alias("up"),
         F.array(slugify(F.col(name_column))).alias("segments"),
     )
+    nodes = nodes.groupBy("id").agg(F.max(F.struct("up", "segments")).alias("__n")).select("id", "__n.up", "__n.segments")
     known = nodes.select(F.col("id").alias("__known"))
     chains = nodes.join(known, nodes["up"] == known["__known"], "left").select(
         "id", F.col("__known").alias("up"), "segments"

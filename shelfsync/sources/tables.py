@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import iso_time
@@ -39,6 +40,11 @@ def scan_table(spark: SparkSession, spec: SourceTable, root: str, format: str =
     return project(spark.read.format(format).load(f"{root.rstrip('/')}/{spec.table}"), spec)
 
 
+def cached_scan(df: DataFrame) -> DataFrame:
+    """Keep a source that several entities of a run read, where it is small enough to keep."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def iso_dates(df: DataFrame) -> DataFrame:
     """Every date and time column as ISO-8601 text."""
     return df.select(

@@ -232,3 +232,9 @@ def test_registry(spark):
     assert one(spark, names.apply("nothing", F.col("v")), v=" a ") == " a "
     names.register("boom", registry.guarded(lambda v: 1 / 0))
     assert one(spark, names.pipe(F.col("v"), "trim", "boom"), v=" a ") == "a"
+
+
+def test_now_is_the_time_of_the_run(spark):
+    from datetime import datetime
+
+    assert one(spark, numbers.now(datetime(2024, 1, 2, 3, 4, 5, 6))) == "2024-01-02T03:04:05+00:00"

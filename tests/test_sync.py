@@ -228,3 +228,29 @@ def test_old_snapshots_are_dropped(spark, store):
     for i in range(4):
         store.write("t", spark.range(i + 1))
     assert store.drop_old("t", keep=2) == 2 and store.read("t").count() == 4
+
+
+def test_batch_run_twice(spark, store):
+    """Three articles in two categories: three rows after the first and after the second run."""
+    from shelfsync.functions.numbers import to_decimal
+    from shelfsync.operators.lookups import resolve_fk
+
+    source = spark.createDataFrame(
+        [("ART1", "Eins", "W1", "9.99"), ("ART2", "Zwei", "W1", "19.5"), ("ART3", "Drei", "W2", "5"), ("", "ohne", "W2", "1")],
+        "number string, label string, category string, price string",
+    )
+    store.write("category", spark.createDataFrame([(1, "W1"), (2, "W2")], "id bigint, afs_id string"))
+    empty = spark.createDataFrame([], "id bigint, model string, name string, category bigint, price double, note string")
+    store.write("article", empty)
+    entity = sync.EntitySpec(
+        name="article", source="articles", target="article", keys=("model",), surrogate="id", order=("number",),
+        columns={"model": F.col("number"), "name": F.col("label"), "category": F.col("category"), "price": to_decimal(F.col("price"))},
+        prepare=lambda rows_, tables: resolve_fk(rows_, "category", tables["category"], "afs_id", on_missing="default"),
+    )
+    first = sync.run_entity_batch(entity, source, store, store.tables())
+    assert first == {"processed": 4, "skipped": 1, "inserted": 3, "updated": 0}
+    found = rows(store.read("article"))
+    assert {m: (r["id"], r["category"], r["price"]) for m, r in found.items()} == {"ART1": (1, 1, 9.99), "ART2": (2, 1, 19.5), "ART3": (3, 2, 5.0)}
+    second = sync.run_entity_batch(entity, source, store, store.tables())
+    assert (second["inserted"], second["updated"], store.read("article").count()) == (0, 3, 3)
+    assert sorted(r["id"] for r in store.read("article").collect()) == [4, 5, 6]
