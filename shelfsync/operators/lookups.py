@@ -80,11 +80,11 @@ def article_slug(
 
     A stored slug stays. Otherwise it is the slug of the category (of the master article's
     category for a variant) and the slug of the name, below ``root`` without a category.
-    ``articles`` has model, category (id) and seo_slug; ``categories`` has id, afs_id, seo_slug.
+    ``articles`` has model, category (id) and seo_slug; ``categories`` has id, source_id, seo_slug.
     """
     stored = one_per_key(articles, lookup_key(F.col("model")), __own=F.col("seo_slug"))
     masters = one_per_key(articles, lookup_key(F.col("model")), __master_category=F.col("category").cast("bigint"))
-    by_code = one_per_key(categories, lookup_key(F.col("afs_id")), __category=F.col("id").cast("bigint"))
+    by_code = one_per_key(categories, lookup_key(F.col("source_id")), __category=F.col("id").cast("bigint"))
     by_id = categories.select(F.col("id").cast("bigint").alias("__id"), trim(F.col("seo_slug")).alias("__path"))
     named_master = article_master_number(F.col(master))
     rows = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.logic import level_at_least
 from .ordering import keep_latest
@@ -70,5 +70,5 @@ def record_changes(stats: DataFrame) -> DataFrame:
     return stats.withColumn("unchanged", F.greatest(F.lit(0).cast("bigint"), rest))
 
 
-def progress_percent(processed: F.Column, total: F.Column) -> F.Column:
+def progress_percent(processed: Column, total: Column) -> Column:
     return F.when(total > 0, F.floor(processed * 100 / total)).otherwise(0).cast("bigint")

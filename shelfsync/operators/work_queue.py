@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import is_blank
 
@@ -60,7 +60,7 @@ def pending(df: DataFrame, spec: QueueSpec) -> DataFrame:
     ).orderBy("id")
 
 
-def relative_name() -> F.Column:
+def relative_name() -> Column:
     """Path below the source folder of a pending row."""
     folder = F.trim(F.col("stored_path"), F.lit("/"))
     return F.concat_ws("/", F.when(folder != "", folder), F.col("stored_file"))

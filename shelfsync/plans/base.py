@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,9 +15,28 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def ready(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names. A local session without one gets its own."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        named = tempfile.mkdtemp(prefix="checkpoint-")
+    spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, root: str) -> DataFrame:
+            ready(spark)
+            return fn(spark, root)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -29,9 +50,7 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """Fresh folder below the shared checkpoint folder of the cluster."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ready(spark)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

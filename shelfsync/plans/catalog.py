@@ -89,7 +89,7 @@ def stored(spark: SparkSession, d: str) -> DataFrame:
 # Categories: one per kind of part that has a shop page.
 CATEGORIES = """
 SELECT CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'PROMO' THEN 3 END AS BIGINT) AS id,
-       p_type AS afs_id, min('de/' || lower(p_type)) AS seo_slug
+       p_type AS source_id, min('de/' || lower(p_type)) AS seo_slug
 FROM part WHERE p_type IN ('ECONOMY', 'LARGE', 'PROMO') GROUP BY p_type"""
 
 
@@ -98,7 +98,7 @@ def categories(spark: SparkSession, d: str) -> DataFrame:
     kinds = table(spark, d, "part").where(kind.isin("ECONOMY", "LARGE", "PROMO")).select("p_type").distinct()
     return kinds.select(
         F.when(kind == "ECONOMY", 1).when(kind == "LARGE", 2).otherwise(3).cast("bigint").alias("id"),
-        kind.alias("afs_id"),
+        kind.alias("source_id"),
         F.concat(F.lit("de/"), F.lower(kind)).alias("seo_slug"),
     )
 

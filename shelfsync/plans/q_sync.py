@@ -272,7 +272,7 @@ def meta_lookup(spark, d):
 WITH i AS ({cat.INCOMING}), o AS ({cat.STORED}), c AS ({cat.CATEGORIES}),
 r AS (SELECT i.article_no, i.title, s.seo_slug AS own, CASE WHEN trim(i.master) <> '' AND lower(trim(i.master)) <> 'master' THEN m.category END AS master_category,
              c.id AS category
-      FROM i LEFT JOIN o s ON i.article_no = s.model LEFT JOIN o m ON trim(i.master) = m.model LEFT JOIN c ON trim(i.category_code) = c.afs_id),
+      FROM i LEFT JOIN o s ON i.article_no = s.model LEFT JOIN o m ON trim(i.master) = m.model LEFT JOIN c ON trim(i.category_code) = c.source_id),
 w AS (SELECT r.*, c.seo_slug AS path FROM r LEFT JOIN c ON coalesce(master_category, category) = c.id)
 SELECT article_no, CASE WHEN trim(coalesce(own, '')) <> '' THEN own
        ELSE coalesce(path, 'de') || '/' || {sql_slug('title', words=False, accents=False)} END AS seo_slug FROM w""")

@@ -14,7 +14,7 @@ from ..functions.logic import case
 from ..functions.numbers import to_decimal, to_int
 from ..functions.text import concat, null_if_empty, trim
 from ..operators.orphans import OrphanPolicy
-from ..operators.schema import TargetTable, all_text
+from ..operators.schema import TargetTable
 from ..operators.sync import EntitySpec
 
 # Shop tables, their keys and the columns the export writes.
@@ -179,11 +179,6 @@ def shop_entities(now: str, language: str = "de") -> list[EntitySpec]:
     ]
 
 
-def export_rows(spec: EntitySpec, source: DataFrame) -> DataFrame:
-    """Shop rows of one entity, all columns as text, before they meet the shop table."""
-    return all_text(source.select(*[(v if isinstance(v, F.Column) else F.lit(v)).alias(n) for n, v in spec.columns.items()]))
-
-
 def shop_sources(staging: Mapping[str, DataFrame]) -> dict:
     """Named sources of the export; each is read when its entity runs."""
     relation = staging["media_relation"]

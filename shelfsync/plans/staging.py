@@ -48,7 +48,7 @@ STAGING_TABLES = {
     for t in (
         TargetTable(
             "article",
-            {"id": Field("integer", auto_increment=True)} | _texts("afs_id xt_id model name ean description_html promo_html note_html unit")
+            {"id": Field("integer", auto_increment=True)} | _texts("source_id shop_id model name ean description_html promo_html note_html unit")
             | {"gross_weight": _REAL, "price": _REAL, "tax_class_id": _INT, "stock": _INT, "status": _INT}
             | _texts("meta_title meta_description") | {"change": _INT, "category": _INT, "is_master": _INT}
             | _texts("master_model products_image products_name products_description seo_slug source_hash updated_at"),
@@ -56,10 +56,10 @@ STAGING_TABLES = {
         ),
         TargetTable(
             "category",
-            {"id": Field("integer", auto_increment=True), "afs_id": _INT} | _texts("xt_id name level attachment parent_id") | {"status": _INT}
+            {"id": Field("integer", auto_increment=True), "source_id": _INT} | _texts("shop_id name level attachment parent_id") | {"status": _INT}
             | _texts("image image_large description_html description meta_description meta_title seo_slug") | {"change": _INT}
             | _texts("source_hash updated_at"),
-            primary_key=["id"], business_key=["afs_id"], unique_constraint=["afs_id"],
+            primary_key=["id"], business_key=["source_id"], unique_constraint=["source_id"],
         ),
         TargetTable(
             "media",
@@ -74,7 +74,7 @@ STAGING_TABLES = {
             | {"position": Field("integer", 0), "status": Field("integer", 1), "change": Field("integer", 0)} | _texts("updated_at"),
             primary_key=["relation_id"], unique_constraint=["file_name", "entity_type", "entity_id"],
         ),
-        TargetTable("attribute", {"id": Field("integer", auto_increment=True), "xt_id": _INT} | _texts("name updated_at"), keys=["name"]),
+        TargetTable("attribute", {"id": Field("integer", auto_increment=True), "shop_id": _INT} | _texts("name updated_at"), keys=["name"]),
         TargetTable(
             "article_attribute", {"article_id": _INT, "attribute_id": _INT, "status": _INT} | _texts("value updated_at"),
             keys=["article_id", "attribute_id"],
@@ -96,7 +96,7 @@ def article_run_order(articles: DataFrame) -> DataFrame:
 
 def _article_links(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     with_slug = article_slug(rows, tables["article"], tables["category"], "model", "category", "name", "master_model", "seo_slug")
-    return resolve_fk(with_slug, "category", tables["category"], "afs_id", on_missing="default")
+    return resolve_fk(with_slug, "category", tables["category"], "source_id", on_missing="default")
 
 
 def _category_links(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -152,7 +152,7 @@ def stage_entities(now: str, article_suffix: str = "", category_title_suffix: st
         entity(
             "category", "category", "category",
             {
-                "afs_id": to_int(c("Warengruppe")), "name": tidy("Bezeichnung"), "level": c("Ebene"), "attachment": c("Anhang"),
+                "source_id": to_int(c("Warengruppe")), "name": tidy("Bezeichnung"), "level": c("Ebene"), "attachment": c("Anhang"),
                 "parent_id": F.when(c("Anhang").cast("string") != "0", c("Anhang")),
                 "description_html": rich("Beschreibung"), "description": rich("Beschreibung"), "status": bool_to_int(c("Internet")),
                 "image": file("Bild"), "image_large": file("Bild_gross"),
@@ -166,7 +166,7 @@ def stage_entities(now: str, article_suffix: str = "", category_title_suffix: st
         entity(
             "article", "article", "article",
             {
-                "model": trim(c("Artikelnummer")), "afs_id": tidy("Artikel"), "name": tidy("Bezeichnung"), "ean": c("EANNummer"),
+                "model": trim(c("Artikelnummer")), "source_id": tidy("Artikel"), "name": tidy("Bezeichnung"), "ean": c("EANNummer"),
                 "description_html": rich("Langtext"), "promo_html": rich("Werbetext1"), "note_html": rich("Bemerkung"),
                 "unit": tidy("Einheit"), "gross_weight": to_decimal(c("Bruttogewicht")), "price": round_n(to_decimal(c("VK3")), 2),
                 "tax_class_id": tax_map(c("Umsatzsteuer")), "stock": to_int(c("Bestand")), "status": bool_to_int(c("Internet")),

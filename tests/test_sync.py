@@ -174,7 +174,7 @@ def test_staging_run(spark, store):
     for name, table in STAGING_TABLES.items():
         store.write(name, create_table(spark, table))
     # surrogate ids are given outside the run; seed the category ids the articles refer to
-    seeded = spark.createDataFrame([(70, 7), (80, 8)], "id bigint, afs_id bigint")
+    seeded = spark.createDataFrame([(70, 7), (80, 8)], "id bigint, source_id bigint")
     store.write("category", create_table(spark, STAGING_TABLES["category"]).unionByName(seeded, allowMissingColumns=True))
     articles = article_run_order(article_source(spark)).checkpoint()
     tree_rows = category_source(spark)
@@ -189,7 +189,7 @@ def test_staging_run(spark, store):
     stats = rows(sync.run_entities(spark, entities, sources, store, lookups={"category_paths": paths}), "entity")
     assert {n: s["error"] for n, s in stats.items() if s["error"]} == {}
     assert len(stats) == 17
-    category = rows(store.read("category"), "afs_id")
+    category = rows(store.read("category"), "source_id")
     assert category[8]["seo_slug"] == "de/kleidung-und-mehr/hosen" and category[8]["id"] == 80 and category[7]["parent_id"] is None
     article = rows(store.read("article"))
     assert set(article) == {"A1", "A2", "A3"}
@@ -239,13 +239,13 @@ def test_batch_run_twice(spark, store):
         [("ART1", "Eins", "W1", "9.99"), ("ART2", "Zwei", "W1", "19.5"), ("ART3", "Drei", "W2", "5"), ("", "ohne", "W2", "1")],
         "number string, label string, category string, price string",
     )
-    store.write("category", spark.createDataFrame([(1, "W1"), (2, "W2")], "id bigint, afs_id string"))
+    store.write("category", spark.createDataFrame([(1, "W1"), (2, "W2")], "id bigint, source_id string"))
     empty = spark.createDataFrame([], "id bigint, model string, name string, category bigint, price double, note string")
     store.write("article", empty)
     entity = sync.EntitySpec(
         name="article", source="articles", target="article", keys=("model",), surrogate="id", order=("number",),
         columns={"model": F.col("number"), "name": F.col("label"), "category": F.col("category"), "price": to_decimal(F.col("price"))},
-        prepare=lambda rows_, tables: resolve_fk(rows_, "category", tables["category"], "afs_id", on_missing="default"),
+        prepare=lambda rows_, tables: resolve_fk(rows_, "category", tables["category"], "source_id", on_missing="default"),
     )
     first = sync.run_entity_batch(entity, source, store, store.tables())
     assert first == {"processed": 4, "skipped": 1, "inserted": 3, "updated": 0}
