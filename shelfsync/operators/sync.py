@@ -27,8 +27,9 @@ ORPHAN, KEPT = "orphan", "kept"
 class EntitySpec:
     """One mapping job.
 
-    ``columns`` maps target columns to Columns over the source rows. ``prepare`` may join
-    lookups or fix rows after the projection. ``order`` makes the run order of equal keys
+    ``columns`` maps target columns to Columns over the source rows. ``prepare`` may then drop
+    rows or resolve keys, ``enrich`` looks up other columns; steps that need keys only skip it.
+    ``order`` makes the run order of equal keys
     explicit; ``slug`` names a column to keep unique, with a unique integer ``ordinal``.
     ``surrogate`` names an id column that new rows fill in the order of the run.
     """
@@ -45,6 +46,7 @@ class EntitySpec:
     orphans: Sequence[OrphanPolicy] = ()
     order: Sequence[str] = ()
     prepare: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame] | None = None
+    enrich: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame] | None = None
     slug: str | None = None
     ordinal: str | None = None
     surrogate: str | None = None
@@ -54,12 +56,21 @@ class EntitySpec:
         return bool(self.delta or self.on_insert or self.on_changed or self.on_unchanged)
 
 
-def map_entity(spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Source rows as target rows, with the order columns carried along as ``__o1``, ..."""
+def map_entity(
+    spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame], enriched: bool = True
+) -> DataFrame:
+    """Source rows as target rows, with the order columns carried along as ``__o0``, ..."""
     order = [F.col(c.split()[0]).alias(f"__o{i}") for i, c in enumerate(spec.order)]
     ordinal = [F.col(spec.ordinal).alias("__ordinal")] if spec.ordinal else []
     rows = source.select(*[as_column(v).alias(c) for c, v in spec.columns.items()], *order, *ordinal)
-    return spec.prepare(rows, tables) if spec.prepare else rows
+    rows = spec.prepare(rows, tables) if spec.prepare else rows
+    return spec.enrich(rows, tables) if spec.enrich and enriched else rows
+
+
+def has_input(spec: EntitySpec, source: DataFrame) -> bool:
+    """Whether any source row has its keys; reads key columns only, up to the first hit."""
+    keys = [k for k in spec.keys if k in spec.columns]
+    return not source.select(*[as_column(spec.columns[k]).alias(k) for k in keys]).where(has_keys(keys)).isEmpty()
 
 
 def _run_order(spec: EntitySpec) -> list[str]:
@@ -74,16 +85,20 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
     the same partitioning before it. The folded frame serves both the delta test and the write.
     """
     keys = list(spec.keys)
-    mapped = map_entity(spec, source, tables or {})
-    mapped = mapped.where(has_keys(keys))
-    mapped = mapped.select(
-        *[F.col(c).cast(target.schema[c].dataType).alias(c) if c in keys else F.col(c) for c in mapped.columns]
-    )
-    if any(not policy.allow_empty for policy in spec.orphans) and mapped.isEmpty():
+    if any(not policy.allow_empty for policy in spec.orphans) and not has_input(spec, source):
         raise ValueError(f"{spec.name}: no rows to process, refusing to disable the whole target")
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        kinds = {k: target.schema[k].dataType for k in keys}
+        filled = rows.where(has_keys(keys))
+        return filled.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in rows.columns])
+
+    mapped = keyed(map_entity(spec, source, tables or {}))
     payload = [c for c in mapped.columns if not c.startswith("__")]
     fields = [c for c in spec.delta if c in payload] or keys
-    ids = _new_ids(spec, mapped, target) if spec.surrogate else None
+    ids = None
+    if spec.surrogate:
+        ids = _new_ids(spec, keyed(map_entity(spec, source, tables or {}, enriched=False)), target)
     if spec.order:
         mapped = fold_duplicates(mapped, keys, _run_order(spec), fields, "__previous")
     if ids is not None:
@@ -179,7 +194,7 @@ def sync_stats(classified: DataFrame) -> DataFrame:
 
 def intake_stats(spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row: source rows processed, and those skipped for want of a key."""
-    mapped = map_entity(spec, source, tables or {})
+    mapped = map_entity(spec, source, tables or {}, enriched=False)
     return mapped.agg(F.count("*").alias("processed"), F.count_if(~has_keys(spec.keys)).alias("skipped"))
 
 

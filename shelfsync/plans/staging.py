@@ -161,7 +161,7 @@ def stage_entities(now: str, article_suffix: str = "", category_title_suffix: st
                 "seo_slug": c("Warengruppe"), "change": 0,
             },
             "name level attachment parent_id description_html description status image image_large meta_title meta_description seo_slug source_hash",
-            prepare=_category_links, slug="seo_slug", ordinal="ordinal", order=("ordinal",), **flags,
+            enrich=_category_links, slug="seo_slug", ordinal="ordinal", order=("ordinal",), **flags,
         ),
         entity(
             "article", "article", "article",
@@ -178,7 +178,7 @@ def stage_entities(now: str, article_suffix: str = "", category_title_suffix: st
             },
             "name ean description_html promo_html note_html unit gross_weight price tax_class_id stock status category seo_slug "
             "is_master master_model products_image products_name products_description source_hash",
-            prepare=_article_links, slug="seo_slug", ordinal="ordinal", order=("ordinal",),
+            enrich=_article_links, slug="seo_slug", ordinal="ordinal", order=("ordinal",),
             orphans=(OrphanPolicy(("model",), off),), **flags,
         ),
         entity(
