@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import Query, ready
-from . import decontamination, html_text, language_id, maxscore, secret_scan, toxicity, warc_archive
+from . import decontamination, html_text, language_id, maxscore, near_duplicates, secret_scan, toxicity, warc_archive
 from .batches import remainder, table
 
 QUERIES: dict[str, Query] = {}
@@ -66,6 +66,11 @@ def op9_secrets(spark: SparkSession, root: str) -> DataFrame:
     return secret_scan.scan(table(spark, root, "documents"))
 
 
+@query
+def op10_near_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    return near_duplicates.groups(table(spark, root, "documents"), size=3, percent=85)
+
+
 # --- SQL -----------------------------------------------------------------------------------------------------
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
