@@ -91,24 +91,26 @@ def _blocks_of_items(benchmark: DataFrame) -> list[DataFrame]:
     return [items.filter(F.col("part") == k).drop("part") for k in range(parts)]
 
 
-def search(documents: DataFrame, benchmark: DataFrame, window: int = 10, carry: tuple[str, ...] = ()) -> DataFrame:
+def search(documents: DataFrame, benchmark: DataFrame, window: int = 10, carry: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
     """Which words of each document lie in a window of a benchmark item.
 
-    Returns one row per document row: doc_id, the columns of `carry`, n_words, n_hit, n_items, items_sha256 (of
+    Returns one row per document row: doc_id, the text if asked for, the columns of `carry`, n_words, n_hit, n_items, items_sha256 (of
     the ids as sorted strings), contaminated. A null or empty document has no words. Items with null
     text are left out; one with a null id marks words, but is not counted or listed. Repeated items count once. The benchmark is searched in
     parts of bounded size, each sent to the tasks on its own; words hit are carried from part to part, so no
     shuffle is needed.
     """
     spark = documents.sparkSession
+    carry = tuple(n for n in carry if n not in ("doc_id", "text"))
     at = documents.select("doc_id", "text", *carry)
-    own = ", ".join(f"`{n}` {t}" for n, t in at.dtypes if n != "text")
+    own = ", ".join(f"`{n}` {t}" for n, t in at.dtypes if n != "text" or with_text)
+    more = ", hit binary, items array<string>" if with_text else ", text string, hit binary, items array<string>"
     at = at.withColumn("hit", F.lit(None).cast("binary")).withColumn("items", F.array().cast("array<string>"))
     parts = _blocks_of_items(benchmark)
     for k, part in enumerate(parts):
         rows = [(r["item"], r["text"]) for r in part.toLocalIterator()]  # at most about TABLE_CHARS
         sent = spark.sparkContext.broadcast((rows, window, k + 1 == len(parts)))
-        kind = own + (RESULT if k + 1 == len(parts) else ", text string, hit binary, items array<string>")
+        kind = own + (RESULT if k + 1 == len(parts) else more)
         at = map_columns(at, kind, lambda sent=sent: _searcher(*sent.value))
         if k + 1 < len(parts):
             at = stored(at, "searched")

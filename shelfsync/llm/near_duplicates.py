@@ -16,7 +16,7 @@ import hashlib
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import map_columns, stored
@@ -146,7 +146,7 @@ def _described(documents: DataFrame, size: int) -> DataFrame:
                 "doc_id": at["doc_id"],
                 "key": at["key"],
                 "n": [len(s) for s in found],
-                "class": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found],
+                "class": [_digest(s) for s in found],
                 "sketch": [sketch(s).tobytes() if len(s) else None for s in found],
             }
 
@@ -155,6 +155,10 @@ def _described(documents: DataFrame, size: int) -> DataFrame:
     return map_columns(_keyed(documents), "doc_id long, key long, n long, class binary, sketch binary", start)
 
 
+def _digest(found: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     at = documents.select(F.col("doc_id").cast("long"), "text")
     return at.withColumn("key", F.xxhash64("doc_id", "text"))
@@ -167,8 +171,8 @@ def _sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def start():
         def rows(at):
-            found = [shingles(t, size) for t in at["text"]]
-            return {"class": at["class"], "set": [s.tobytes() for s in found]}
+            found = [(c, s.tobytes()) for c, s in zip(at["class"], (shingles(t, size) for t in at["text"])) if _digest(s) == c]
+            return {"class": [c for c, _ in found], "set": [s for _, s in found]}
 
         return rows
 
@@ -232,14 +236,8 @@ def _rare(sets: DataFrame, percent: int) -> DataFrame:
     return map_columns(sets.select("class", "root", "set"), "class binary, root binary, n long, shingle long", start)
 
 
-def groups(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
-
-    Rows with a similarity of `percent` or more are linked; component_id is the smallest id that links lead to.
-    Null and empty texts, and those without a word, have the empty set, are linked with nothing and kept. Equal texts
-    are linked whatever their ids; repeated rows have equal results. A null id is never the smallest; if a group
-    has no other, component_id is null. `kept` is whether doc_id is component_id, nulls being equal.
-    """
+def _grouped(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The described rows, and for every class its component: class, root and the smallest id."""
     described = stored(_described(documents, size), "described")
     classes = described.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.min("key").alias("key"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
@@ -274,9 +272,44 @@ def groups(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     linked = roots.join(classes.select(F.col("class").alias("node"), "least"), "node")
     linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("smallest")), "root")
-    ids = classes.select("class", "least").join(linked.select(F.col("node").alias("class"), "smallest"), "class", "left")
-    ids = ids.select("class", F.when(F.col("smallest").isNotNull(), F.col("smallest")).otherwise(F.col("least")).alias("smallest"))
-    out = described.select("doc_id", "n", "class").join(ids, "class", "left")
+    ids = classes.select("class", "least").join(linked.select(F.col("node").alias("class"), "root", "smallest"), "class", "left")
+    smallest = F.when(F.col("root").isNotNull(), F.col("smallest")).otherwise(F.col("least"))
+    return described, ids.select("class", F.coalesce("root", "class").alias("root"), smallest.alias("smallest"))
+
+
+def groups(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row.
+
+    Rows with a similarity of `percent` or more are linked; component_id is the smallest id that links lead to.
+    Null and empty texts, and those without a word, have the empty set, are linked with nothing and kept. Equal texts
+    are linked whatever their ids; repeated rows have equal results. A null id is never the smallest; if a group
+    has no other, component_id is null. `kept` is whether doc_id is component_id, nulls being equal.
+    """
+    described, ids = _grouped(documents, size, percent)
+    out = described.select("doc_id", "n", "class").join(ids.select("class", "smallest"), "class", "left")
     found = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def representatives(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `documents`, all their columns, of which one row of each group stays.
+
+    That is the one with the smallest id (null ids last, then by a hash of the text; of rows that repeat id and text
+    the first by their other columns). Rows without words stay, all of them.
+    """
+    described, ids = _grouped(documents, size, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("key"))).alias("first")
+    rows = described.join(ids.select("class", "root"), "class", "left")
+    best = rows.filter("class IS NOT NULL").groupBy("root").agg(first).select("first.key")
+    times = described.filter("class IS NOT NULL").groupBy("key").agg(F.count("*").alias("times"))
+    keys = stored(best.join(times, "key"), "keys")
+    single = keys.filter("times = 1").select("key").union(described.filter("class IS NULL").select("key").distinct())
+    many = keys.filter("times > 1").select("key")
+    names = documents.columns
+    at = documents.withColumn("key__", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
+    chosen = [k.withColumnRenamed("key", "key__") for k in (single, many)]
+    chosen = [F.broadcast(k) if k.count() <= BROADCAST else k for k in chosen]
+    order = Window.partitionBy("key__").orderBy(*(n for n in names if n not in ("doc_id", "text")))
+    again = at.join(chosen[1], "key__", "left_semi").withColumn("place__", F.row_number().over(order)).filter("place__ = 1")
+    return at.join(chosen[0], "key__", "left_semi").select(*names).union(again.select(*names))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import Query, ready
-from . import decontamination, html_text, language_id, maxscore, near_duplicates, secret_scan, toxicity, warc_archive
+from . import decontamination, html_text, language_id, masked_lm, maxscore, mixing, near_duplicates, secret_scan, toxicity, warc_archive
 from .batches import remainder, table
 
 QUERIES: dict[str, Query] = {}
@@ -43,12 +43,24 @@ def op3_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return _held(toxicity.score(documents, model, threshold=0.3), 4, 2, "score", "predicted")
 
 
+@query
+def op4_masked_lm(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents")
+    known = masked_lm.vocabulary(documents)
+    return masked_lm.score(documents, known, masked_lm.learn(documents, known))
+
+
 @query
 def op5_maxscore(spark: SparkSession, root: str) -> DataFrame:
     vectors = maxscore.usable(table(spark, root, "embeddings"), scale=256.0)
     return maxscore.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+@query
+def op6_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.weigh(table(spark, root, "documents"), mixing.Mix(share=0.5))
+
+
 @query
 def op7_language(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents")

@@ -248,3 +248,19 @@ def score(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFra
         return rows
 
     return map_columns(documents.select(F.col("doc_id").cast("long"), "text"), "doc_id long, score double, predicted int", start)
+
+
+def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows whose score stays below the threshold, all their columns unchanged."""
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    def start():
+        ready = sent.value
+
+        def rows(at):
+            found = ready.scores([(t or "").encode("utf-8", "replace") for t in at["text"]])
+            return {n: [v for v, s in zip(values, found) if s < threshold] for n, values in at.items()}
+
+        return rows
+
+    return map_columns(documents, ", ".join(f"`{n}` {t}" for n, t in documents.dtypes), start)
