@@ -31,7 +31,10 @@ WIDTH = 16
 ROUNDS = 2
 #: One in so many positions of every document is trained on in each round; positions differ from round to round.
 STRIDE = 16
-MINI = 1024
+MINI = 256
+#: Positions of a task that are trained on at least, by repeating the few of a small table.
+LEAST = 1 << 15
+REPEATS = 12
 SCALE = 64.0
 RATE = 1.0
 #: Positions of a task between two outputs of what it has learnt.
@@ -177,6 +180,12 @@ def neighbours(tokens: np.ndarray) -> np.ndarray:
     return np.stack([wide[SIDE + o : SIDE + o + len(tokens)] for o in OFFSETS])
 
 
+def positions(n: int, turn: int) -> np.ndarray:
+    """Those of a document's n positions that a round trains on, scattered so that no rhythm of the text matters."""
+    scattered = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n) * np.uint64(0xD6E8FEB86659FD93)
+    return np.flatnonzero((scattered >> np.uint64(40)) % np.uint64(STRIDE) == turn % STRIDE)
+
+
 def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
     """The averaged weights after ROUNDS rounds over all documents."""
     spark = documents.sparkSession
@@ -193,10 +202,12 @@ def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
 
             def train() -> int:
                 a, t = np.concatenate(around, axis=1), np.concatenate(targets)
-                order = np.random.default_rng(seen + turn).permutation(len(t))
-                for at in range(0, len(t), MINI):
-                    pick = order[at : at + MINI]
-                    net.step(a[:, pick], t[pick], RATE / (1 + turn))
+                rng = np.random.default_rng(seen + turn)
+                for _ in range(max(1, min(REPEATS, LEAST // len(t)))):
+                    order = rng.permutation(len(t))
+                    for at in range(0, len(t), MINI):
+                        pick = order[at : at + MINI]
+                        net.step(a[:, pick], t[pick], RATE / (1 + turn))
                 around.clear()
                 targets.clear()
                 return len(t)
@@ -206,11 +217,11 @@ def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
                 for part in pieces(batch):
                     for text in part.column(0).to_pylist():
                         tokens = encoded(words(text), numbers)
-                        first = (len(tokens) + turn * (STRIDE // ROUNDS)) % STRIDE
-                        if first < len(tokens):
-                            around.append(neighbours(tokens)[:, first::STRIDE])
-                            targets.append(tokens[first::STRIDE])
-                            held += len(targets[-1])
+                        at = positions(len(tokens), turn)
+                        if len(at):
+                            around.append(neighbours(tokens)[:, at])
+                            targets.append(tokens[at])
+                            held += len(at)
                         if held >= 1 << 16:
                             seen += train()
                             held = 0
