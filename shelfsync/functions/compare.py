@@ -29,6 +29,22 @@ def _is_something(x: str, kind: str) -> str:
     return f"{x} <> ''" if kind == "text" else _truth(x, kind)
 
 
+def _digits(x: str) -> str:
+    """A whole number of any length in one spelling: no plus sign, no leading zeros, no minus before zero."""
+    return f"regexp_replace(regexp_replace({x}, '^\\\\s*[+]?(-?)0*(?=[0-9])|\\\\s+$', '$1'), '^-0$', '0')"
+
+
+def canonical(x: str, kind: T.DataType) -> str:
+    """A text that two values of one column share exactly if they count as equal; never null."""
+    if _family(kind) == "bool":
+        return f"CAST(coalesce({x}, false) AS string)"
+    if _family(kind) == "number":
+        return f"CAST(coalesce({x}, 0) AS string)"
+    short = f"length({_digits(x)}) < 16"
+    return f"""CASE WHEN {x} RLIKE {_WHOLE} AND NOT {short} THEN {_digits(x)}
+        WHEN {x} RLIKE {_NUMBER} THEN CAST(try_cast({x} AS double) + 0.0D AS string) ELSE coalesce(CAST({x} AS string), '') END"""
+
+
 def _differ(a: str, kind_a: str, b: str, kind_b: str) -> str:
     """Inequality of two values that are not null."""
     if "bool" in (kind_a, kind_b):
@@ -36,7 +52,7 @@ def _differ(a: str, kind_a: str, b: str, kind_b: str) -> str:
     if kind_a == kind_b == "number":
         return f"{a} <> {b}"
     if kind_a == kind_b:
-        return f"""CASE WHEN {a} RLIKE {_WHOLE} AND {b} RLIKE {_WHOLE} THEN try_cast({a} AS bigint) <> try_cast({b} AS bigint)
+        return f"""CASE WHEN {a} RLIKE {_WHOLE} AND {b} RLIKE {_WHOLE} THEN {_digits(a)} <> {_digits(b)}
             WHEN {a} RLIKE {_NUMBER} AND {b} RLIKE {_NUMBER} THEN try_cast({a} AS double) <> try_cast({b} AS double)
             ELSE {a} <> {b} END"""
     number, text = (a, b) if kind_a == "number" else (b, a)
@@ -72,11 +88,15 @@ def file_token(mtime: Column, size: Column, algo: str = "sha256") -> Column:
         "mtime_size": lambda c: c,
         "md5": F.md5,
         "sha1": F.sha1,
+        "crc32b": lambda c: F.lpad(F.lower(F.hex(F.crc32(c.cast("binary")))), 8, "0"),
+        "sha256": lambda c: F.sha2(c, 256),
         "sha224": lambda c: F.sha2(c, 224),
         "sha384": lambda c: F.sha2(c, 384),
         "sha512": lambda c: F.sha2(c, 512),
     }
-    return known.get(algo.lower(), lambda c: F.sha2(c, 256))(data)
+    if algo.lower() not in known:
+        raise ValueError(f"checksum algorithm not offered: {algo}")
+    return known[algo.lower()](data)
 
 
 def row_hash(*cols: Column) -> Column:

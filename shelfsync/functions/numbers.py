@@ -11,7 +11,7 @@ from .text import is_blank, trim
 # What counts as a number in text.
 NUMERIC = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 NUMERIC_PREFIX = r"^\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
-WHOLE_NUMBER = r"^\s*[+-]?\d{1,18}\s*$"
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 
 # Texts read as true.
 TRUE_WORDS = ("1", "true", "yes", "ja", "y")
@@ -37,7 +37,7 @@ def to_decimal(c: Column) -> Column:
 
 
 def to_int(c: Column) -> Column:
-    """Whole part of a number, cut towards zero."""
+    """Whole part of a number, cut towards zero; exact as long as it fits 64 bits, beyond that null."""
     text = c.cast("string")
     whole = F.when(text.rlike(WHOLE_NUMBER), trim(text).try_cast("bigint"))
     return F.coalesce(whole, to_number(text).try_cast("bigint"))

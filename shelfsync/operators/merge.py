@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .ordering import assign_ids, first_wins, keep_latest
+from .ordering import assign_ids, first_wins, last_wins
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -20,17 +20,22 @@ def _need_keys(keys: Sequence[str]) -> None:
         raise ValueError("the target has no unique key")
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], small_changes: bool = False) -> DataFrame:
+def upsert(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], small_changes: bool = False, order: Sequence[str] = ()
+) -> DataFrame:
     """Insert new keys; on known keys overwrite only the columns the changes have.
 
-    An explicit null overwrites, a column missing from the changes keeps its value. Changes
-    hold one row per key. The default is one full outer join. With ``small_changes`` the
+    An explicit null overwrites, a column missing from the changes keeps its value. Of changes with one
+    key the last in ``order`` counts, else the last in the order of their columns. A value that does not fit its column becomes
+    null. The default is one full outer join. With ``small_changes`` the
     target is scanned twice but, as long as Spark can broadcast the changes, never shuffled.
     """
     _need_keys(keys)
-    unknown = set(changes.columns) - set(target.columns)
+    helpers = [c.split()[0] for c in order if c.split()[0] not in target.columns]
+    unknown = set(changes.columns) - set(target.columns) - set(helpers)
     if unknown:
         raise ValueError(f"columns not in the target: {sorted(unknown)}")
+    changes = last_wins(changes, keys, order).drop(*helpers)
     new = changes.withColumn("__hit", F.lit(True)).alias("new")
     old = target.alias("old")
     on = same_keys("old", "new", keys)
@@ -38,9 +43,9 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], small_cha
     def merged(column: str) -> Column:
         kind = target.schema[column].dataType
         if column in keys:
-            value = F.coalesce(F.col(f"old.{column}"), F.col(f"new.{column}").cast(kind))
+            value = F.coalesce(F.col(f"old.{column}"), F.col(f"new.{column}").try_cast(kind))
         elif column in changes.columns:
-            value = F.when(F.col("new.__hit"), F.col(f"new.{column}").cast(kind)).otherwise(F.col(f"old.{column}"))
+            value = F.when(F.col("new.__hit"), F.col(f"new.{column}").try_cast(kind)).otherwise(F.col(f"old.{column}"))
         else:
             value = F.col(f"old.{column}")
         return value.alias(column)
@@ -50,7 +55,7 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], small_cha
     patched = old.join(new, on, "left").select(*[merged(c) for c in target.columns])
     known = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi")
     added = changes.join(known, list(keys), "left_anti")
-    typed = added.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in added.columns])
+    typed = added.select(*[F.col(c).try_cast(target.schema[c].dataType).alias(c) for c in added.columns])
     return patched.unionByName(typed, allowMissingColumns=True).select(*target.columns)
 
 
@@ -60,15 +65,13 @@ def replace_merge(
 ) -> DataFrame:
     """Rows with a staged key are replaced as a whole: columns not staged become null.
 
-    With ``order`` the last staged row per key wins. With ``id_column`` replaced and new rows
+    The last staged row per key wins, in ``order`` or else in the order of the columns. With ``id_column`` replaced and new rows
     get fresh ids above ``max_id``, in the same order.
     """
-    staged = staging.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in staging.columns])
+    staged = staging.select(*[F.col(c).try_cast(target.schema[c].dataType).alias(c) for c in staging.columns])
     if not keys:
         return target.unionByName(staged, allowMissingColumns=True)
-    if order:
-        backwards = [c[:-5] if c.lower().endswith(" desc") else f"{c} desc" for c in order]
-        staged = keep_latest(staged, keys, backwards, 1)
+    staged = last_wins(staged, keys, order)
     if id_column:
         staged = assign_ids(staged, order or list(keys), max_id, id_column)
     kept = target.join(staged.select(*keys), list(keys), "left_anti")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .filters import sort_columns
 
@@ -156,16 +156,17 @@ def _reverse(order: Sequence[str]) -> list[Column]:
 
 
 def fold_duplicates(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], into: str = "previous"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], into: str = "previous",
+    spoilt: str | None = None,
 ) -> DataFrame:
     """The last row per key, with the named fields of the row before it as a struct.
 
-    Within one run a repeated key sees its predecessor as the stored row; since every row of
-    an entity writes the same columns, the predecessor alone decides. Two rows per key and
-    task are shuffled at most.
+    Two rows per key and task are shuffled at most. Rows marked by the boolean column ``spoilt`` are not
+    looked at; one of them stands for a key that has no other.
     """
-    latest = Window.partitionBy(*keys).orderBy(*_reverse(order))
-    before = F.lead(F.struct(*fields)).over(latest)
+    latest = Window.partitionBy(*keys).orderBy(*([F.col(spoilt)] if spoilt else []), *_reverse(order))
+    row = F.struct(*fields)
+    before = F.lead(F.when(~F.col(spoilt), row) if spoilt else row).over(latest)
     return (
         df.withColumn("__rank", F.row_number().over(latest))
         .where(F.col("__rank") <= 2)
@@ -175,6 +176,21 @@ def fold_duplicates(
     )
 
 
+def total_order(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of the columns that can be sorted by; they make an order where none is declared."""
+    return [c for c in columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
+
+
+def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key, the last in the given order, or else in the order of the other columns."""
+    by = order or total_order(df, [c for c in df.columns if c not in keys])
+    return keep_latest(df, keys, _flipped(by), 1) if by else df.dropDuplicates(list(keys))
+
+
+def _flipped(order: Sequence[str]) -> list[str]:
+    return [c[:-5] if c.lower().endswith(" desc") else f"{c} desc" for c in order]
+
+
 def natural_key(name: Column) -> Column:
     """Sort key in which digit runs count as numbers and case is ignored."""
     pieces = F.split(F.lower(name), r"(?<=\D)(?=\d)|(?<=\d)(?=\D)")

@@ -6,17 +6,17 @@ from collections import ChainMap
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.compare import delta_changed
+from ..functions.compare import canonical, delta_changed
 from ..functions.text import is_blank
 from .delta import INSERT, UNCHANGED, UPDATE, action, attach_existing, differs, flag_values, set_where_different
 from .mapping import as_column, has_keys
 from .merge import replace_merge
-from .ordering import assign_ids, first_wins, fold_duplicates
+from .ordering import assign_ids, first_wins, fold_duplicates, total_order
 from .orphans import OrphanPolicy
 from .slugs import unique_slugs
 
@@ -51,18 +51,17 @@ class EntitySpec:
     ordinal: str | None = None
     surrogate: str | None = None
 
-    def needs_existing(self) -> bool:
-        """Without delta and flags the write is blind and stored rows need not be compared."""
-        return bool(self.delta or self.on_insert or self.on_changed or self.on_unchanged)
-
 
 def map_entity(
-    spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame], enriched: bool = True
+    spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame], enriched: bool = True,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Source rows as target rows, with the order columns carried along as ``__o0``, ..."""
     order = [F.col(c.split()[0]).alias(f"__o{i}") for i, c in enumerate(spec.order)]
     ordinal = [F.col(spec.ordinal).alias("__ordinal")] if spec.ordinal else []
     rows = source.select(*[as_column(v).alias(c) for c, v in spec.columns.items()], *order, *ordinal)
+    if watch:
+        rows = rows.observe(watch.source, F.count("*").alias("processed"))
     rows = spec.prepare(rows, tables) if spec.prepare else rows
     return spec.enrich(rows, tables) if spec.enrich and enriched else rows
 
@@ -77,35 +76,52 @@ def _run_order(spec: EntitySpec) -> list[str]:
     return [f"__o{i}" + c[len(c.split()[0]):] for i, c in enumerate(spec.order)]
 
 
-def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+class Watch:
+    """Counts taken while a run is written: source rows, rows with their keys, and rows that do not fit."""
+
+    def __init__(self) -> None:
+        self.source, self.kept = Observation(), Observation()
+
+    def stats(self) -> dict[str, int]:
+        processed, kept = self.source.get["processed"], self.kept.get
+        return {"processed": processed, "skipped": max(0, processed - kept["kept"]), "errors": kept["errors"]}
+
+
+def classify_entity(
+    spec: EntitySpec, source: DataFrame, target: DataFrame, tables: Mapping[str, DataFrame] | None = None,
+    watch: Watch | None = None,
+) -> DataFrame:
     """New content of the target plus the column ``action``, in one pass.
 
     The rows of both sides meet once, in a full outer join on the merge key: it finds the
     stored row of each change, the orphans and the rows to keep. Repeated keys are folded on
-    the same partitioning before it. The folded frame serves both the delta test and the write.
+    the same partitioning before it, in the declared order or else that of their values. The
+    folded frame serves both the delta test and the write. A row with a value that does not fit is left out.
     """
     keys = list(spec.keys)
     if any(not policy.allow_empty for policy in spec.orphans) and not has_input(spec, source):
         raise ValueError(f"{spec.name}: no rows to process, refusing to disable the whole target")
 
-    def keyed(rows: DataFrame) -> DataFrame:
-        kinds = {k: target.schema[k].dataType for k in keys}
-        filled = rows.where(has_keys(keys))
-        return filled.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in rows.columns])
-
-    mapped = keyed(map_entity(spec, source, tables or {}))
+    mapped = typed(spec, map_entity(spec, source, tables or {}, watch=watch), target)
+    if watch:
+        mapped = mapped.observe(watch.kept, F.count("*").alias("kept"), F.count_if("__bad").alias("errors"))
     payload = [c for c in mapped.columns if not c.startswith("__")]
     fields = [c for c in spec.delta if c in payload] or keys
-    ids = None
+    order = _run_order(spec) or total_order(mapped, payload)
+    run = mapped
+    mapped = fold_duplicates(mapped, keys, order, fields, "__previous", "__bad")
+    if set(spec.on_changed) - set(spec.on_unchanged) and spec.delta:
+        mapped = mapped.join(_history(run, keys, [c for c in spec.delta if c in payload]), keys, "left")
+    else:
+        mapped = mapped.withColumn("__moved", F.lit(False))
     if spec.surrogate:
-        ids = _new_ids(spec, keyed(map_entity(spec, source, tables or {}, enriched=False)), target)
-    if spec.order:
-        mapped = fold_duplicates(mapped, keys, _run_order(spec), fields, "__previous")
-    if ids is not None:
+        ids = _new_ids(spec, typed(spec, map_entity(spec, source, tables or {}, enriched=False), target).where("NOT __bad"), target)
         mapped = mapped.join(ids, keys, "left")
     joined = attach_existing(mapped, target, keys, "full_outer")
-    incoming, stored = F.col("new.__new").isNotNull(), F.col("old.__old").isNotNull()
-    repeated = F.col("new.__previous").isNotNull() if spec.order else F.lit(False)
+    seen, stored = F.col("new.__new").isNotNull(), F.col("old.__old").isNotNull()
+    incoming = seen & ~F.coalesce(F.col("new.__bad"), F.lit(False))
+    joined = joined.where(incoming | stored)
+    repeated = F.col("new.__previous").isNotNull()
     previous = [
         (f"new.`{c}`", f"new.__previous.`{c}`", mapped.schema[c].dataType, mapped.schema[c].dataType)
         for c in spec.delta
@@ -113,7 +129,7 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
     ]
     # tested once per row, and read by every flag column below
     joined = joined.withColumn("__changed", differs(mapped, target, spec.delta))
-    step = F.when(repeated, delta_changed(previous)).otherwise(F.col("__changed")) if spec.order else F.col("__changed")
+    step = F.when(repeated, delta_changed(previous)).otherwise(F.col("__changed"))
     joined = joined.withColumn("__step", F.when(incoming, action(stored | repeated, step)).otherwise(KEPT))
 
     values: dict[str, Column] = {c: F.col(f"old.{c}") for c in target.columns}
@@ -121,11 +137,12 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
         if spec.slug == c:
             continue
         values[c] = F.when(incoming, F.col(f"new.{c}")).otherwise(values[c]) if c in values else F.col(f"new.{c}")
-    if ids is not None:
+    if spec.surrogate:
         values[spec.surrogate] = F.coalesce(F.col(f"old.{spec.surrogate}"), F.col("new.__id"))
-    if spec.order:
-        values = flag_values(values, incoming & repeated & ~stored, spec.on_insert)
-        values = flag_values(values, incoming & repeated & stored & F.col("__changed"), spec.on_changed)
+    # what earlier rows of the run have left behind
+    moved = F.coalesce(F.col("new.__moved"), F.lit(False))
+    values = flag_values(values, incoming & repeated & ~stored, spec.on_insert)
+    values = flag_values(values, incoming & repeated & (moved | (stored & F.col("__changed"))), spec.on_changed)
     for name, flags in ((INSERT, spec.on_insert), (UPDATE, spec.on_changed), (UNCHANGED, spec.on_unchanged)):
         values = flag_values(values, F.col("__step") == name, flags)
 
@@ -133,11 +150,37 @@ def classify_entity(spec: EntitySpec, source: DataFrame, target: DataFrame, tabl
     result = joined.select(
         *[values[c].cast(target.schema[c].dataType).alias(c) for c in target.columns],
         F.col("__step").alias("action"),
+        seen.alias("__seen"),
         *extra,
     )
     if spec.slug:
         result = _with_slugs(spec, result, target)
-    return _with_orphans(spec, result, target)
+    return _with_orphans(spec, result, target, run)
+
+
+def typed(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows with their keys, in the types of the target. ``__bad`` marks rows with a value that does not fit.
+
+    Such a row is not written and counts as an error; its key still counts as seen.
+    """
+    kinds = {f.name: f.dataType for f in target.schema.fields if f.name in rows.columns and f.name != spec.slug}
+    fresh = {c: F.col(c).try_cast(k) for c, k in kinds.items() if rows.schema[c].dataType != k}
+    spoilt = [F.col(c).isNotNull() & v.isNull() for c, v in fresh.items()]
+    bad = reduce(or_, spoilt) if spoilt else F.lit(False)
+    # a key that does not fit cannot be told apart from others and stays out altogether, but is counted
+    return rows.where(has_keys(spec.keys)).select(
+        *[fresh[c].alias(c) if c in fresh else F.col(c) for c in rows.columns], bad.alias("__bad")
+    )
+
+
+def _history(run: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Keys whose rows differ among themselves within the run: keys and ``__moved``.
+
+    The smallest and the largest canonical value differ exactly then, so no group is sorted or gathered.
+    """
+    value = F.struct(*[F.expr(canonical(f"`{c}`", run.schema[c].dataType)).alias(c) for c in fields])
+    spread = run.where("NOT __bad").groupBy(*keys).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    return spread.where("__low <> __high").select(*keys, F.lit(True).alias("__moved"))
 
 
 def _new_ids(spec: EntitySpec, mapped: DataFrame, target: DataFrame) -> DataFrame:
@@ -147,7 +190,7 @@ def _new_ids(spec: EntitySpec, mapped: DataFrame, target: DataFrame) -> DataFram
     """
     keys, order = list(spec.keys), _run_order(spec)
     rows = mapped.select(*keys, *[c.split()[0] for c in order])
-    rows = first_wins(rows, keys, order) if order else rows
+    rows = first_wins(rows, keys, order) if order else rows.dropDuplicates(keys)
     fresh = rows.join(target.select(*keys), keys, "left_anti")
     top = target.agg(F.max(spec.surrogate)).first()[0] or 0
     return assign_ids(fresh, [*order, *keys], top, "__id").select(*keys, "__id")
@@ -160,28 +203,29 @@ def _with_slugs(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataFra
     given = unique_slugs(asking, target.select(spec.slug), keys, "__wanted", "__ordinal", "__slug")
     slug = F.coalesce(F.col("__slug"), F.col(spec.slug))
     return rows.join(given, keys, "left").select(
-        *[slug.alias(c) if c == spec.slug else F.col(c) for c in target.columns], "action"
+        *[slug.alias(c) if c == spec.slug else F.col(c) for c in target.columns], "action", "__seen"
     )
 
 
-def _with_orphans(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of the target no change accounts for, updated by the policies.
+def _with_orphans(spec: EntitySpec, rows: DataFrame, target: DataFrame, run: DataFrame) -> DataFrame:
+    """Rows of the target no change accounts for, updated by the policies, each over all stored rows.
 
-    A policy that matches by the merge key needs no further join: its orphans are the kept rows.
-    Otherwise a kept row may match a row of the run by the other key, and is no orphan then.
+    A policy that matches by the merge key needs no further join. For another key the keys of the run are
+    joined once for each policy, before any policy acts, so the plan grows with their number only.
     """
-    for policy in spec.orphans:
-        unseen, marked = F.col("action") == KEPT, rows
-        if list(policy.match_key) != list(spec.keys):
-            names = {k: f"__seen_{k}" for k in policy.match_key}
-            seen = rows.where(~unseen).select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
-            on = reduce(and_, [F.col(k) == F.col(n) for k, n in names.items()])
-            marked = rows.join(seen.withColumn("__seen", F.lit(True)), on, "left").drop(*names.values())
-            unseen = F.col("__seen").isNull()
-        marked = set_where_different(marked, unseen & policy.candidates(), policy.values(), "__hit")
-        rows = marked.withColumn("action", F.when(F.col("__hit"), ORPHAN).otherwise(F.col("action")))
-        rows = rows.select(*target.columns, "action")
-    return rows
+    other = [(i, p) for i, p in enumerate(spec.orphans) if list(p.match_key) != list(spec.keys)]
+    for i, policy in other:
+        source = run if all(k in run.columns for k in policy.match_key) else rows.where("__seen")
+        names = {k: f"__match_{k}" for k in policy.match_key}
+        found = source.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct().withColumn(f"__seen{i}", F.lit(True))
+        on = reduce(and_, [F.col(k) == F.col(n) for k, n in names.items()])
+        rows = rows.join(found, on, "left").drop(*names.values())
+    for i, policy in enumerate(spec.orphans):
+        by_other = any(i == j for j, _ in other)
+        unseen = F.col(f"__seen{i}").isNull() if by_other else ~F.col("__seen")
+        rows = set_where_different(rows, unseen & policy.candidates(), policy.values(), "__hit")
+        rows = rows.withColumn("action", F.when(F.col("__hit"), ORPHAN).otherwise(F.col("action"))).drop("__hit")
+    return rows.select(*target.columns, "action")
 
 
 def sync_stats(classified: DataFrame) -> DataFrame:
@@ -192,10 +236,18 @@ def sync_stats(classified: DataFrame) -> DataFrame:
     )
 
 
-def intake_stats(spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """One row: source rows processed, and those skipped for want of a key."""
-    mapped = map_entity(spec, source, tables or {}, enriched=False)
-    return mapped.agg(F.count("*").alias("processed"), F.count_if(~has_keys(spec.keys)).alias("skipped"))
+def intake_stats(
+    spec: EntitySpec, source: DataFrame, tables: Mapping[str, DataFrame] | None = None, target: DataFrame | None = None
+) -> DataFrame:
+    """One row: source rows processed, those skipped (without a key, or dropped on the way), and those that do not
+    fit the types of ``target``."""
+    total = source.agg(F.count("*").alias("processed"))
+    rows = map_entity(spec, source, tables or {}, enriched=target is not None)
+    rows = typed(spec, rows, target) if target is not None else rows.where(has_keys(spec.keys)).withColumn("__bad", F.lit(False))
+    kept = rows.agg(F.count("*").alias("kept"), F.count_if("__bad").alias("errors"))
+    one = F.lit(1).alias("__one")  # one row meets one row
+    both = total.select("*", one).join(kept.select("*", one), "__one")
+    return both.select("processed", F.greatest(F.lit(0).cast("bigint"), F.col("processed") - F.col("kept")).alias("skipped"), "errors")
 
 
 # Entities that go first in a run; the rest follows by name.
@@ -208,7 +260,7 @@ def run_order(names: Sequence[str]) -> list[str]:
 
 
 STATS_SCHEMA = (
-    "entity string, processed bigint, skipped bigint, inserted bigint, updated bigint, "
+    "entity string, processed bigint, skipped bigint, errors bigint, inserted bigint, updated bigint, "
     "unchanged bigint, orphans bigint, error string"
 )
 
@@ -218,9 +270,10 @@ def run_entity(spec: EntitySpec, source: DataFrame, store, tables: Mapping[str,
 
     The write is the only pass over the data; a run that fails leaves the old snapshot.
     """
-    classified = classify_entity(spec, source, store.read(spec.target), tables)
+    watch = Watch()
+    classified = classify_entity(spec, source, store.read(spec.target), tables, watch)
     written = store.write(spec.target, classified, drop_on_read=["action"])
-    return {**intake_stats(spec, source, tables).first().asDict(), **sync_stats(written).first().asDict()}
+    return {**watch.stats(), **sync_stats(written).first().asDict()}
 
 
 def run_entity_batch(spec: EntitySpec, source: DataFrame, store, tables: Mapping[str, DataFrame] | None = None) -> dict[str, Any]:
@@ -260,15 +313,15 @@ def run_entities(
             stats = run_entity(spec, sources[spec.source](), store, ChainMap(lookups or {}, store.tables()))
             rows.append({"entity": spec.name, **stats, "error": None})
         except Exception as error:
-            rows.append({"entity": spec.name, "error": str(error).splitlines()[0]})
+            rows.append({"entity": spec.name, "error": (str(error).splitlines() or [repr(error)])[0]})
     columns = [c.split()[0] for c in STATS_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], STATS_SCHEMA)
 
 
 def run_totals(stats: DataFrame, entities: Sequence[str] | None = None) -> DataFrame:
-    """Totals over a fixed list of entities, or all."""
+    """Totals over a fixed list of entities, or all: rows processed; rows in error and entities that failed."""
     rows = stats if entities is None else stats.where(F.col("entity").isin(*entities))
     return rows.agg(
         F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"),
-        F.count_if(F.col("error").isNotNull()).alias("errors"),
+        (F.coalesce(F.sum("errors"), F.lit(0)) + F.count_if(F.col("error").isNotNull())).alias("errors"),
     )

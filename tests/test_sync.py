@@ -42,7 +42,7 @@ def test_first_second_and_third_run(spark, store):
     source = spark.createDataFrame([("a", "A", "1.0"), (" b ", "B", "2"), (" ", "skipped", "3")], SOURCE)
     store.write("item", spark.createDataFrame([("b", "B", "2.00", 1, 1, None), ("old", "O", "9", 1, 0, "t")], TARGET))
     first = sync.run_entity(spec(), source, store)
-    assert first == {"processed": 3, "skipped": 1, "inserted": 1, "updated": 0, "unchanged": 1, "orphans": 1}
+    assert first == {"processed": 3, "skipped": 1, "errors": 0, "inserted": 1, "updated": 0, "unchanged": 1, "orphans": 1}
     table = rows(store.read("item"))
     assert table["a"] == {"model": "a", "name": "A", "price": "1.0", "status": None, "change": 1, "touched": NOW}
     assert table["b"]["change"] == 0 and table["b"]["touched"] is None
@@ -92,10 +92,84 @@ def test_repeated_keys_follow_the_run(spark):
     right = spark.createDataFrame([(k, v["value"], v["change"], v["touched"]) for k, v in target.items()], "key string, value string, change int, touched string")
     expected, actions = one_by_one(source, target)
     found = rows(sync.classify_entity(entity, left, right), "key")
-    assert {k: (r["value"], r["change"]) for k, r in found.items()} == {k: (r["value"], r["change"]) for k, r in expected.items()}
+    wanted = {k: (r["value"], r["change"], r["touched"]) for k, r in expected.items()}
+    assert {k: (r["value"], r["change"], r["touched"]) for k, r in found.items()} == wanted
     assert {k: r["action"] for k, r in found.items() if r["action"] != "kept"} == actions
 
 
+def test_a_value_that_changes_and_changes_back_leaves_its_stamp(spark):
+    entity = spec(columns={"model": F.col("no"), "name": F.col("label"), "price": F.col("cost")}, order=("at",))
+    target = spark.createDataFrame([("k", "A", "1", 1, 1, "old"), ("l", "A", "1", 1, 1, "old")], TARGET)
+    source = spark.createDataFrame([("k", "B", "1", 1), ("k", "A", "1.0", 2), ("k", "A", "01", 3), ("l", "A", "1.00", 4), ("l", "A", "+1", 5)], SOURCE + ", at int")
+    found = rows(sync.classify_entity(entity, source, target))
+    assert (found["k"]["action"], found["k"]["touched"], found["k"]["change"]) == ("unchanged", NOW, 0)
+    assert (found["l"]["action"], found["l"]["touched"], found["l"]["change"]) == ("unchanged", "old", 0)
+
+
+def test_repeated_keys_without_an_order(spark):
+    entity = spec(surrogate="id")
+    target = spark.createDataFrame([("old", "O", "9", 1, 0, "t", 4)], TARGET + ", id bigint")
+    source = spark.createDataFrame([("a", "B", "1"), ("a", "A", "1"), ("n", "N", "2"), ("n", "N", "2"), ("old", "O", "9.0")], SOURCE)
+    for parts in (1, 5):
+        found = sync.classify_entity(entity, source.repartition(parts), target).collect()
+        assert sorted((r["model"], r["name"], r["id"]) for r in found) == [("a", "B", 5), ("n", "N", 6), ("old", "O", 4)]
+
+
+def test_rows_that_do_not_fit_are_errors(spark, store):
+    kind = "model string, name string, price double, status int, change int, touched string"
+    store.write("item", spark.createDataFrame([("a", "A", 1.0, 1, 0, "t"), ("b", "B", 2.0, 1, 0, "t"), ("gone", "G", 3.0, 1, 0, "t")], kind))
+    source = spark.createDataFrame([("a", "A", "x"), ("a", "A2", "7"), ("a", "A3", "y"), ("b", "B", "none"), ("new", "N", "-"), (" ", "S", "1"), ("c", "C", "4.5")], SOURCE)
+    stats = sync.run_entity(spec(), source, store)
+    assert stats == {"processed": 7, "skipped": 1, "errors": 4, "inserted": 1, "updated": 1, "unchanged": 0, "orphans": 1}
+    found = rows(store.read("item"))
+    assert set(found) == {"a", "b", "c", "gone"}
+    assert (found["a"]["name"], found["a"]["price"]) == ("A2", 7.0) and found["b"] == {"model": "b", "name": "B", "price": 2.0, "status": 1, "change": 0, "touched": "t"}
+    assert found["gone"]["status"] == 0
+    intake = sync.intake_stats(spec(), source, target=store.read("item")).first()
+    assert (intake["processed"], intake["skipped"], intake["errors"]) == (7, 1, 4)
+
+
+def test_rows_dropped_on_the_way_are_skipped(spark, store):
+    from shelfsync.operators.mapping import fill_file_name
+
+    store.write("item", spark.createDataFrame([], "file_name string, hash string"))
+    entity = sync.EntitySpec(name="f", source="f", target="item", keys=("file_name",), columns={"file_name": F.col("file_name"), "hash": F.col("hash")},
+                             prepare=lambda r, t: fill_file_name(r))
+    source = spark.createDataFrame([("x", None), ("", ""), (None, " ")], "file_name string, hash string")
+    stats = sync.run_entity(entity, source, store)
+    assert (stats["processed"], stats["skipped"], stats["inserted"]) == (3, 2, 1)
+
+
+def test_every_policy_looks_at_every_stored_row(spark):
+    target = spark.createDataFrame([("a", "A", "1", 1, 1, "t"), ("b", "L1", "1", 1, 1, "t"), ("c", "L2", "1", 1, 1, "t")], TARGET)
+    source = spark.createDataFrame([("a", "L1", "1")], SOURCE)
+    entity = spec(on_insert={}, on_changed={}, on_unchanged={}, orphans=(OrphanPolicy(("model",), {"status": 0}), OrphanPolicy(("name",), {"change": 0})))
+    found = rows(sync.classify_entity(entity, source, target))
+    assert {k: (r["status"], r["change"], r["action"]) for k, r in found.items()} == {"a": (1, 1, "update"), "b": (0, 1, "orphan"), "c": (0, 0, "orphan")}
+
+
+def test_plan_grows_with_the_policies_only(spark, tmp_path):
+    spark.createDataFrame([("a", "L1", "1")], SOURCE).write.parquet(str(tmp_path / "s"))
+    spark.createDataFrame([("a", "A", "1", 1, 1, "t")], TARGET).write.parquet(str(tmp_path / "t"))
+    scans = []
+    for n in range(5):
+        policies = tuple(OrphanPolicy(("name",), {"status": i}) for i in range(n))
+        plan = sync.classify_entity(spec(orphans=policies), spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "t")))
+        scans.append(str(plan._jdf.queryExecution().optimizedPlan().toString()).count("Relation ["))
+    assert len({b - a for a, b in zip(scans, scans[1:])}) == 1
+
+
+def test_an_error_without_text_does_not_end_the_run(spark, store):
+    store.write("item", spark.createDataFrame([], TARGET))
+
+    def silent():
+        raise ValueError
+
+    source = spark.createDataFrame([("a", "A", "1")], SOURCE)
+    stats = rows(sync.run_entities(spark, [spec(name="bad", source="bad"), spec()], {"bad": silent, "items": lambda: source}, store), "entity")
+    assert stats["bad"]["error"] == "ValueError()" and stats["item"]["inserted"] == 1
+
+
 def test_empty_run_is_refused(spark):
     source = spark.createDataFrame([], SOURCE)
     target = spark.createDataFrame([("a", "A", "1", 1, 0, None)], TARGET)
@@ -248,7 +322,7 @@ def test_batch_run_twice(spark, store):
         prepare=lambda rows_, tables: resolve_fk(rows_, "category", tables["category"], "source_id", on_missing="default"),
     )
     first = sync.run_entity_batch(entity, source, store, store.tables())
-    assert first == {"processed": 4, "skipped": 1, "inserted": 3, "updated": 0}
+    assert first == {"processed": 4, "skipped": 1, "errors": 0, "inserted": 3, "updated": 0}
     found = rows(store.read("article"))
     assert {m: (r["id"], r["category"], r["price"]) for m, r in found.items()} == {"ART1": (1, 1, 9.99), "ART2": (2, 1, 19.5), "ART3": (3, 2, 5.0)}
     second = sync.run_entity_batch(entity, source, store, store.tables())
