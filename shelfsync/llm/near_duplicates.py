@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import map_columns, stored
+from .batches import map_columns, pieces, stored
 from .components import components
 
 REGISTERS = 128
@@ -30,9 +32,9 @@ BANDS = REGISTERS // BAND
 MARGIN = 7.0
 #: Classes up to which the list of wanted texts is broadcast (24 bytes each); above, both sides are shuffled.
 BROADCAST = 400_000
-#: Slots of the table of shingle frequencies that orders shingles by rarity.
-SLOTS = 1 << 18
 PIECE = 1 << 20
+#: Words of 64 bits in the bitmap of a set.
+WORDS = 32
 
 _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -199,41 +201,64 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_columns(met, "a binary, b binary", start)
 
 
-def _rare(sets: DataFrame, percent: int) -> DataFrame:
-    """The rarest shingles of each set, as many as a similar set must share one of: class, root, n, shingle."""
-
-    def counting():
-        def rows(at):
-            slots = [np.frombuffer(s, np.uint64) & np.uint64(SLOTS - 1) for s in at["set"]]
-            slot, n = np.unique(np.concatenate(slots), return_counts=True) if slots else ([], [])
-            return {"slot": np.asarray(slot, np.int64), "n": np.asarray(n, np.int64)}
+def _shingles_of(sets: DataFrame) -> DataFrame:
+    """One row for each member of the sets: id and shingle."""
 
-        return rows
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch):
+                found = [np.frombuffer(s, np.int64) for s in part.column(1).to_pylist()]
+                ids = np.repeat(part.column(0).to_numpy(), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(found))], names=["id", "shingle"])
 
-    counts = map_columns(sets.select("set"), "slot long, n long", counting).groupBy("slot").agg(F.sum("n").alias("n"))
-    table = np.zeros(SLOTS, np.int64)
-    for row in counts.toLocalIterator():  # SLOTS rows at most
-        table[row["slot"]] = row["n"]
-    sent = sets.sparkSession.sparkContext.broadcast(table)
+    return sets.select("id", "set").mapInArrow(run, "id long, shingle long")
 
-    def start():
-        often = sent.value
 
-        def rows(at):
-            out = {"class": [], "root": [], "n": [], "shingle": []}
-            for c, root, s in zip(at["class"], at["root"], at["set"]):
-                a = np.frombuffer(s, np.uint64)
-                length = len(a) - (percent * len(a) + 99) // 100 + 1
-                first = a[np.lexsort((a, often[a & np.uint64(SLOTS - 1)]))[:length]].view(np.int64)
-                out["class"] += [c] * len(first)
-                out["root"] += [root] * len(first)
-                out["n"] += [len(a)] * len(first)
-                out["shingle"] += first.tolist()
-            return out
-
-        return rows
+def _rare(sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each set, as many as a similar set must share one of: class, root, n, bits, lone, shingle.
 
-    return map_columns(sets.select("class", "root", "set"), "class binary, root binary, n long, shingle long", start)
+    Shingles that no other set holds come first in that order, and cannot be shared; `lone` is their number.
+    """
+    members = _shingles_of(sets.withColumn("id", F.xxhash64("class")))
+    often = members.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1")
+    met = members.join(often, "shingle")
+    sized = map_columns(sets.select("class", "root", "set"), "class binary, root binary, n long, bits array<long>", _bitmaps)
+    sized = sized.withColumn("id", F.xxhash64("class"))
+    own = Window.partitionBy("id")
+    met = met.withColumn("place", F.row_number().over(own.orderBy("often", "shingle"))).withColumn("shared", F.count("*").over(own))
+    met = met.join(sized, "id").withColumn("lone", F.col("n") - F.col("shared"))
+    length = f"n - ({percent} * n + 99) div 100 + 1"
+    return met.filter(f"place <= {length} - lone").select("class", "root", "n", "bits", "lone", "shingle")
+
+
+def _bitmaps():
+    """A bit for every value of the lowest bits of a set's hashes."""
+
+    def rows(at):
+        sizes, bits = [], []
+        for s in at["set"]:
+            a = np.frombuffer(s, np.uint64)
+            marks = np.zeros(64 * WORDS, np.uint8)
+            marks[a & np.uint64(64 * WORDS - 1)] = 1
+            sizes.append(len(a))
+            bits.append(np.packbits(marks).view(np.int64).tolist())
+        return {"class": at["class"], "root": at["root"], "n": sizes, "bits": bits}
+
+    return rows
+
+
+def _rest(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets in different components that share one of their rarest shingles and could be similar enough.
+
+    Two bounds on the intersection are tested in the join itself, so that hopeless pairs are not emitted: what a set holds
+    alone is not in it; and every bit in which two bitmaps differ stands for a shingle that one set lacks.
+    """
+    rare = stored(_rare(sets, percent), "rare")
+    other = rare.select("shingle", F.col("class").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("lone").alias("lone_b"), F.col("bits").alias("bits_b"))
+    apart = " + ".join(f"bit_count(bits[{i}] ^ bits_b[{i}])" for i in range(WORDS))
+    common = f"least(n - lone, n_b - lone_b, (n + n_b - ({apart})) div 2)"
+    met = rare.withColumnRenamed("class", "a").join(other, "shingle")
+    return met.filter(f"a < b AND root <> root_b AND (100 + {percent}) * {common} >= {percent} * (n + n_b)").select("a", "b").distinct()
 
 
 def _grouped(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -262,11 +287,7 @@ def _grouped(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame,
     split = crowded.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     open_ = stored(crowded.join(split.select("bucket"), "bucket", "left_semi").select("class", "root").distinct(), "open")
     if not open_.isEmpty():
-        rare = stored(_rare(sets.join(open_, "class"), percent), "rare")
-        other = rare.select("shingle", F.col("class").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-        more = rare.withColumnRenamed("class", "a").join(other, "shingle")
-        more = more.filter(f"a < b AND root <> root_b AND 100 * least(n, n_b) >= {percent} * greatest(n, n_b)")
-        more = stored(_confirmed(more.select("a", "b").distinct(), sets, percent), "links")
+        more = stored(_confirmed(_rest(sets.join(open_, "class"), percent), sets, percent), "links")
         if not more.isEmpty():
             roots = stored(components(links.union(more)), "roots")
 
