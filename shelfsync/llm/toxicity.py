@@ -225,7 +225,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def fit(texts: list[bytes], toxic: list[int], ratio: float = 1.0) -> Model:
     """Train on labelled texts; `ratio`: for how many texts each ordinary one stands, if each toxic one is one.
 
-    With one class only, or none, every text scores by the share of toxic ones.
+    With one class only, or none, every text scores by the share of toxic ones; so it does if too
+    few toxic texts are known for any passage to stand out.
     """
     bad = [t for t, y in zip(texts, toxic) if y]
     good = [t for t, y in zip(texts, toxic) if not y]
@@ -235,15 +236,19 @@ def fit(texts: list[bytes], toxic: list[int], ratio: float = 1.0) -> Model:
     # one half trains the dictionaries, the other, unseen by them, chooses among them and fits the curve
     texts = bad[1::2] + good[1::2]
     marks = np.array([1.0] * len(bad[1::2]) + [0.0] * len(good[1::2]))
-    counts = np.where(marks == 1, COST, ratio)
+    share = len(bad) / (len(bad) + ratio * len(good))
+    nothing = np.tile(np.array([1.0, 0.0, 0.0]), (1, len(WINDOWS), 1))
     best = None
     for pair in train(bad[::2], good[::2]):
         sums = measured(texts, pair)
         usual = usual_savings(sums[marks == 0])
         x = features(sums, usual)
+        counts = np.where(marks == 1, COST, ratio)
         w = _logistic(x, marks, counts)
+        if _curve(features(nothing, usual), w)[0] > share:  # too little to go by: no text may seem toxic for its cost alone
+            w = _logistic(x, marks, np.where(marks == 1, 1.0, ratio))
         p = np.clip(_curve(x, w), 1e-6, 1 - 1e-6)
-        loss = -(counts * (marks * np.log(p) + (1 - marks) * np.log(1 - p))).sum()
+        loss = -(counts * (marks * np.log(p) + (1 - marks) * np.log(1 - p))).sum() / counts.sum()
         if best is None or loss < best[0]:
             best = loss, Model(pair, usual, w)
     return best[1]
