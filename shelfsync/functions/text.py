@@ -19,19 +19,30 @@ SLUG_WORDS = {"&": " und "}
 NAME_PLACEHOLDERS = ("{{Bezeichnung}}", "{{bezeichnung}}")
 
 
+# Lower-case Latin letters that do not come apart into a letter and a mark.
+WHOLE_LETTERS = {
+    "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i", "ħ": "h", "ŧ": "t", "ŋ": "n",
+    "ƀ": "b", "ɓ": "b", "ƈ": "c", "ɗ": "d", "ƒ": "f", "ɠ": "g", "ɨ": "i", "ƙ": "k", "ƚ": "l", "ɲ": "n", "ƥ": "p", "ƭ": "t",
+    "ƶ": "z", "ĳ": "ij", "ſ": "s", "ŉ": "'n", "ǆ": "dz", "ǉ": "lj", "ǌ": "nj", "ﬁ": "fi", "ﬂ": "fl",
+}
+
+
 def _accent_table() -> tuple[str, str]:
-    """Lower-case Latin letters with a mark, and the plain letters below them."""
+    """Lower-case Latin letters with marks, and the plain letters below them."""
     marked, plain = [], []
-    for code in range(0xC0, 0x180):
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
         letter = chr(code)
         base = unicodedata.normalize("NFD", letter)[0]
-        if letter.islower() and base != letter and base.isascii():
+        base = WHOLE_LETTERS.get(base, base)
+        if letter.islower() and letter not in WHOLE_LETTERS and base != letter and base.isascii() and len(base) == 1:
             marked.append(letter)
             plain.append(base)
     return "".join(marked), "".join(plain)
 
 
 MARKED_LETTERS, PLAIN_LETTERS = _accent_table()
+# Marks that follow their letter as characters of their own.
+_LOOSE_MARKS = "[\u0300-\u036f]"
 
 
 def trim(c: Column) -> Column:
@@ -73,7 +84,12 @@ def _plain_letters(c: Column, drop_accents: bool) -> Column:
     for letter, spelling in UMLAUTS.items():
         spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
     if drop_accents:
-        spelled = F.translate(spelled, MARKED_LETTERS, PLAIN_LETTERS)
+        spelled = F.regexp_replace(F.translate(spelled, MARKED_LETTERS, PLAIN_LETTERS), _LOOSE_MARKS, "")
+        other = spelled
+        for letter, spelling in WHOLE_LETTERS.items():
+            other = F.replace(other, F.lit(letter), F.lit(spelling))
+        # rare letters: one test, not a replacement each, for texts that have none
+        spelled = F.when(F.translate(spelled, "".join(WHOLE_LETTERS), "") != spelled, other).otherwise(spelled)
     return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(spelled)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.logic import article_master_number
 from ..functions.rtf import rtf_to_html
@@ -32,12 +32,18 @@ def one_per_key(dim: DataFrame, key: Column, **values: Column) -> DataFrame:
     return best.select("__key", *[F.col(f"__row.{n}").alias(n) for n in values])
 
 
+def _short_columns(df: DataFrame) -> list[str]:
+    """Columns that tell rows apart at little cost: all but texts and nested values, and the first text, mostly a key."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.DatetimeType))] + texts[:1] or df.columns[:1]
+
+
 def spread_blanks(df: DataFrame, key: Column) -> Column:
     """Join key in which blank keys are spread over many values that no dimension holds.
 
     A left join sends all null keys to one task; trimmed keys never start with a zero byte.
     """
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string")
+    part = F.pmod(F.xxhash64(*_short_columns(df)), F.lit(4096)).cast("string")
     return F.coalesce(key, F.concat(F.lit("\0"), part))
 
 

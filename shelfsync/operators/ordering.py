@@ -97,8 +97,10 @@ def page_by_row_number(
 ) -> DataFrame:
     """Rows ``offset + 1`` to ``offset + limit`` with their number.
 
-    Near the start only the rows up to the end of the page are gathered, no more per task.
+    Near the start only the rows up to the end of the page are gathered, no more per task. Ties in the order are
+    broken by the other columns, so that pages neither repeat nor leave out rows, whichever way they are found.
     """
+    order = _total(df, order)
     if offset + limit > reach:
         return global_number(df, order, into).where(F.col(into).between(offset + 1, offset + limit))
     columns = sort_columns(order)
@@ -110,8 +112,9 @@ def page_by_row_number(
 def page(df: DataFrame, order: Sequence[str], number: int, size: int, reach: int = PAGE_REACH) -> DataFrame:
     """One page of a table; a page beyond the end shows the last one.
 
-    A page near the end is found from the end, with the order reversed.
+    A page near the end is found from the end, with the order reversed. Ties are broken by the other columns.
     """
+    order = _total(df, order)
     total = df.count()
     pages = max(1, -(-total // size))
     offset = (min(max(1, number), pages) - 1) * size
@@ -122,17 +125,28 @@ def page(df: DataFrame, order: Sequence[str], number: int, size: int, reach: int
     return page_by_row_number(df, order, offset, size, "__no", reach).orderBy("__no").drop("__no")
 
 
+def _total(df: DataFrame, order: Sequence[str]) -> list[str]:
+    named = {entry.split()[0] for entry in order}
+    return [*order, *[c for c in total_order(df, df.columns) if c not in named]]
+
+
+# Rows of a group that one task sorts, about, where groups are cut in parts first.
+PART_ROWS = 1 << 20
+
+
 def keep_latest(df: DataFrame, per: Sequence[str], order: Sequence[str], n: int, spread: Sequence[str] = ()) -> DataFrame:
     """The first n rows of each group in the given order.
 
     Spark cuts groups before the shuffle for small n. For a large n pass ``spread``, columns
-    that differ within a group: the cut is then made in 64 parts of the group first.
+    that differ within a group: the cut is then made in parts of the group first, as many as
+    the table could need if all of it were one group.
     """
     rows = df
     if spread:
+        pieces = max(64, df.count() // PART_ROWS)
         parts = Window.partitionBy(*per, "__part").orderBy(*sort_columns(order))
         rows = (
-            rows.withColumn("__part", F.pmod(F.xxhash64(*spread), F.lit(64)))
+            rows.withColumn("__part", F.pmod(F.xxhash64(*spread), F.lit(pieces)))
             .withColumn("__rank", F.row_number().over(parts))
             .where(F.col("__rank") <= n)
             .drop("__part", "__rank")

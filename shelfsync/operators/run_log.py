@@ -55,9 +55,14 @@ def log_latest(log: DataFrame, n: int = 100, levels: Sequence[str] | None = None
     return rows.orderBy(*sort_columns(order)).limit(n)
 
 
-def log_retain(log: DataFrame, n: int, per: str = "job", order: Sequence[str] = ("created_at desc", "id desc")) -> DataFrame:
-    """The newest n entries of each job; 0 keeps everything."""
-    return keep_latest(log, [per], order, n, spread=["id"] if n > 1000 else ()) if n > 0 else log
+def log_retain(
+    log: DataFrame, n: int, per: str = "job", order: Sequence[str] = ("created_at desc", "id desc"), spread: Sequence[str] = ("id",)
+) -> DataFrame:
+    """The newest n entries of each job; 0 keeps everything.
+
+    For an n that Spark does not cut by before the shuffle, groups are cut in parts first, by the columns ``spread``.
+    """
+    return keep_latest(log, [per], order, n, spread=spread if n > 1000 else ()) if n > 0 else log
 
 
 def log_clear(log: DataFrame, job: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -25,6 +27,7 @@ def ready(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)  # a local session's own
     spark.sparkContext.setCheckpointDir(named)
     return named
 

@@ -38,7 +38,8 @@ def fn_text(spark, d):
 @query("fn_slug", f"""
 SELECT doc_id, md5({sql_slug("text || ' & ' || lang")}) AS slug,
        md5({sql_slug("text || ' & ' || lang", words=False, accents=False)}) AS plain_slug,
-       md5({sql_slug("text || ' & ' || lang", sep='_', words=False, accents=False)}) AS meta_key
+       md5({sql_slug("text || ' & ' || lang", sep='_', words=False, accents=False)}) AS meta_key,
+       'smorrebrod-lodz-oeuvre-thing-istanbul-viet-nam-' || doc_id AS rare_letters
 FROM documents""")
 def fn_slug(spark, d):
     value = F.concat("text", F.lit(" & "), "lang")
@@ -47,6 +48,7 @@ def fn_slug(spark, d):
         F.md5(text.slugify(value)).alias("slug"),
         F.md5(text.slugify(value, translit=False)).alias("plain_slug"),
         F.md5(text.normalize_key(value)).alias("meta_key"),
+        text.slugify(F.concat(F.lit("Smørrebrød łódź Œuvre Þing ıstanbul Vie\u0323\u0302t Nạm "), F.col("doc_id").cast("string"))).alias("rare_letters"),
     )
 
 
@@ -76,7 +78,7 @@ SELECT p_partkey, {sql_number("replace(raw, ',', '.')")} AS decimal_value,
                  WHEN lower({sql_trim("word")}) IN ('1', 'true', 'yes', 'ja', 'y') THEN 1 ELSE 0 END AS INTEGER) AS flag,
        CAST(CASE WHEN lower({sql_trim("word")}) IN ('1', 'true', 'yes', 'ja', 'y') THEN 1
                  WHEN lower({sql_trim("word")}) IN ('0', 'false', 'no', 'nein', 'n') THEN 0 END AS INTEGER) AS declared_flag,
-       round(p_retailprice + 0.03, 1) AS rounded
+       round(p_retailprice + 0.03, 1) AS rounded, 9007199254740993000 + p_partkey AS long_whole
 FROM r""")
 def fn_number(spark, d):
     price = F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(","))
@@ -90,6 +92,7 @@ def fn_number(spark, d):
         numbers.bool_to_int(word).alias("flag"),
         numbers.convert(word, "boolean").alias("declared_flag"),
         numbers.round_n(F.col("p_retailprice") + 0.03, 1).alias("rounded"),
+        numbers.to_int((F.col("p_partkey") + F.lit(9007199254740993000)).cast("string")).alias("long_whole"),
     )
 
 
@@ -294,7 +297,7 @@ def iso_dates(spark, d):
 
 @query("checksum", """
 WITH r AS (SELECT doc_id, '2024-01-02T03:04:05+00:00' || '|' || n_chars AS token FROM documents)
-SELECT doc_id, token AS plain, sha256(token) AS hashed, md5(token) AS short_hash, sha256(token) AS fallback FROM r""")
+SELECT doc_id, token AS plain, sha256(token) AS hashed, md5(token) AS short_hash, sha1(token) AS sha1_hash FROM r""")
 def checksum(spark, d):
     mtime, size = F.lit("2024-01-02T03:04:05+00:00"), F.col("n_chars")
     return table(spark, d, "documents").select(
@@ -302,7 +305,7 @@ def checksum(spark, d):
         compare.file_token(mtime, size, "mtime_size").alias("plain"),
         compare.file_token(mtime, size, "sha256").alias("hashed"),
         compare.file_token(mtime, size, "md5").alias("short_hash"),
-        compare.file_token(mtime, size, "unheard-of").alias("fallback"),
+        compare.file_token(mtime, size, "SHA1").alias("sha1_hash"),
     )
 
 

@@ -67,24 +67,25 @@ def log_context(spark, d):
 
 
 @query("job_status", f"""
-WITH e AS (SELECT 'job' || user_id AS job, event_id, {sql_iso('ts')} AS ts, event_type, value FROM events WHERE user_id > 3),
+WITH e AS (SELECT 'job' || user_id AS job, event_id, {sql_iso('ts')} AS ts, event_type, value FROM events),
 s AS (SELECT *, CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'ready' ELSE 'running' END AS state,
              row_number() OVER (PARTITION BY job ORDER BY ts DESC, event_id DESC) AS n FROM e),
 b AS (SELECT job, arg_max(ts, event_id) AS ts, max(event_id) AS id FROM e WHERE event_type = 'signup' GROUP BY job),
 f AS (SELECT job, arg_max(ts, event_id) AS ts, max(event_id) AS id FROM e WHERE event_type IN ('error', 'purchase') GROUP BY job)
 SELECT j.job, coalesce(s.state, 'idle') AS state, s.event_type AS stage, s.ts AS updated_at, b.ts AS started_at,
        CASE WHEN b.id IS NULL OR f.id > b.id THEN f.ts END AS finished_at, CAST(coalesce(floor(s.value), 0) AS BIGINT) AS processed
-FROM (SELECT DISTINCT 'job' || user_id AS job FROM events) j LEFT JOIN (SELECT * FROM s WHERE n = 1) s ON j.job = s.job LEFT JOIN b ON j.job = b.job LEFT JOIN f ON j.job = f.job""")
+FROM (SELECT 'job' || user_id AS job FROM events UNION SELECT 'job' || c_custkey FROM customer) j LEFT JOIN (SELECT * FROM s WHERE n = 1) s ON j.job = s.job LEFT JOIN b ON j.job = b.job LEFT JOIN f ON j.job = f.job""")
 def job_status(spark, d):
     log = cat.log(spark, d)
     kind = F.col("stage")
     value = F.floor(F.substring_index("message", " ", -1).cast("double"))
-    events = log.join(table(spark, d, "events").select(F.col("event_id").alias("id"), "user_id"), "id").where("user_id > 3").select(
+    events = log.select(
         "job", F.col("created_at").alias("ts"), F.col("id").alias("seq"), "stage", "message",
         F.when(kind == "error", "error").when(kind == "purchase", "ready").otherwise("running").alias("state"),
         value.alias("processed"), F.lit(100).cast("bigint").alias("total"), (kind == "signup").alias("began"),
     )
-    status = run_log.job_status(events, log.select("job"))
+    known = log.select("job").unionByName(table(spark, d, "customer").select(F.concat(F.lit("job"), F.col("c_custkey").cast("string")).alias("job")))
+    status = run_log.job_status(events, known)
     return status.select("job", "state", "stage", "updated_at", "started_at", "finished_at", "processed")
 
 

@@ -152,20 +152,22 @@ def delta_export(spark, d):
     return exported.select(F.lit("export").alias("part"), "*").unionByName(cleared.select(F.lit("kept").alias("part"), "*"))
 
 
-@query("sync_duplicates", """
+@query("sync_duplicates", f"""
 WITH n AS (SELECT o_custkey AS customer, o_orderstatus AS state, o_orderpriority AS priority, o_orderkey FROM orders),
 o AS (SELECT c_custkey AS customer, CASE WHEN c_acctbal > 3000 THEN 'F' ELSE 'O' END AS state, c_mktsegment AS priority,
              CAST(1 AS INTEGER) AS change, 'before' AS updated_at FROM customer WHERE c_mktsegment <> 'BUILDING'),
-l AS (SELECT *, lag(state) OVER w AS before, row_number() OVER (PARTITION BY customer ORDER BY o_orderkey DESC) AS r, count(*) OVER (PARTITION BY customer) AS k
+m AS (SELECT *, lag(state) OVER w AS before, first(state) OVER w AS head, row_number() OVER (PARTITION BY customer ORDER BY o_orderkey DESC) AS r, count(*) OVER (PARTITION BY customer) AS k
       FROM n WINDOW w AS (PARTITION BY customer ORDER BY o_orderkey)),
+l AS (SELECT *, coalesce(bool_or(before <> state) OVER (PARTITION BY customer), false) AS moved FROM m),
 j AS (SELECT coalesce(l.customer, o.customer) AS customer, l.customer IS NOT NULL AS is_new, o.customer IS NOT NULL AS is_old, l.state AS new_state, l.priority AS new_priority,
-             o.state AS old_state, o.priority AS old_priority, o.change AS old_change, o.updated_at AS old_at, l.before, l.k
+             o.state AS old_state, o.priority AS old_priority, o.change AS old_change, o.updated_at AS old_at, l.before, l.k, l.moved, l.head
       FROM (SELECT * FROM l WHERE r = 1) l FULL JOIN o ON l.customer = o.customer),
 a AS (SELECT *, CASE WHEN NOT is_new THEN 'kept' WHEN k = 1 AND NOT is_old THEN 'insert'
                      WHEN k > 1 THEN CASE WHEN before <> new_state THEN 'update' ELSE 'unchanged' END
                      WHEN new_state <> old_state THEN 'update' ELSE 'unchanged' END AS action FROM j)
 SELECT customer, CASE WHEN is_new THEN new_state ELSE old_state END AS state, CASE WHEN is_new THEN new_priority ELSE old_priority END AS priority,
-       CAST(CASE action WHEN 'kept' THEN old_change WHEN 'unchanged' THEN 0 ELSE 1 END AS INTEGER) AS change, action FROM a""")
+       CAST(CASE action WHEN 'kept' THEN old_change WHEN 'unchanged' THEN 0 ELSE 1 END AS INTEGER) AS change, action,
+       CASE WHEN NOT is_new THEN old_at WHEN NOT is_old OR moved OR head <> old_state THEN '{NOW}' ELSE old_at END AS updated_at FROM a""")
 def sync_duplicates(spark, d):
     target = table(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").alias("customer"), F.when(F.col("c_acctbal") > 3000, "F").otherwise("O").alias("state"),
@@ -176,7 +178,49 @@ def sync_duplicates(spark, d):
         columns={"customer": F.col("o_custkey"), "state": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")},
         on_insert={"change": 1, "updated_at": NOW}, on_changed={"change": 1, "updated_at": NOW}, on_unchanged={"change": 0},
     )
-    return sync.classify_entity(spec, table(spark, d, "orders"), target).drop("updated_at")
+    return sync.classify_entity(spec, table(spark, d, "orders"), target)
+
+
+@query("upsert_repeated", """
+WITH r AS (SELECT o_custkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders)
+SELECT coalesce(c_custkey, o_custkey) AS id, CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE o_orderstatus END AS state,
+       CASE WHEN o_custkey IS NULL THEN c_acctbal ELSE o_totalprice END AS amount, c_name AS name
+FROM (SELECT * FROM customer WHERE c_custkey % 3 <> 0) FULL JOIN (SELECT * FROM r WHERE n = 1) ON c_custkey = o_custkey""")
+def upsert_repeated(spark, d):
+    """Changes in which most keys occur many times."""
+    target = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(
+        F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("amount"), F.col("c_name").alias("name"),
+    )
+    changes = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("state"), F.col("o_totalprice").alias("amount"), "o_orderdate", "o_orderkey"
+    )
+    return merge.upsert(target, changes, ["id"], order=["o_orderdate", "o_orderkey"])
+
+
+@query("orphans_many", """
+WITH r AS (SELECT o_custkey, o_orderpriority AS priority, lag(o_orderpriority) OVER w AS before, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n
+           FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+s AS (SELECT o_custkey, priority, before FROM r WHERE n = 1),
+p AS (SELECT DISTINCT o_orderpriority AS priority FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000),
+t AS (SELECT c_custkey AS id, CASE WHEN c_nationkey % 2 = 0 THEN '1-URGENT' ELSE 'none' || c_nationkey END AS priority, CAST(1 AS INTEGER) AS status, CAST(1 AS INTEGER) AS web FROM customer),
+j AS (SELECT coalesce(t.id, s.o_custkey) AS id, coalesce(s.priority, t.priority) AS priority, t.status, t.web, s.o_custkey IS NOT NULL AS seen, t.id IS NOT NULL AS known,
+             s.before IS NOT NULL AS again, s.priority <> coalesce(s.before, t.priority) AS differs FROM t FULL JOIN s ON t.id = s.o_custkey)
+SELECT id, priority, CAST(CASE WHEN NOT seen THEN 0 ELSE status END AS INTEGER) AS status,
+       CAST(CASE WHEN priority NOT IN (SELECT priority FROM p) AND web IS NOT NULL THEN 0 ELSE web END AS INTEGER) AS web,
+       CASE WHEN NOT seen THEN 'orphan' WHEN NOT known AND NOT again THEN 'insert' WHEN differs THEN 'update' ELSE 'unchanged' END AS action FROM j""")
+def orphans_many(spark, d):
+    """Two policies, one by the merge key and one by another column; both look at every stored row."""
+    target = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.when(F.col("c_nationkey") % 2 == 0, "1-URGENT").otherwise(F.concat(F.lit("none"), F.col("c_nationkey").cast("string"))).alias("priority"),
+        F.lit(1).alias("status"), F.lit(1).alias("web"),
+    )
+    spec = sync.EntitySpec(
+        name="customer", source="orders", target="customer", keys=("id",), delta=("priority",), order=("o_orderkey",),
+        columns={"id": F.col("o_custkey"), "priority": F.col("o_orderpriority")},
+        orphans=(OrphanPolicy(("id",), {"status": 0}), OrphanPolicy(("priority",), {"web": 0})),
+    )
+    return sync.classify_entity(spec, table(spark, d, "orders").where("o_orderstatus = 'F' and o_totalprice > 250000"), target)
 
 
 _LINES_SQL = """

@@ -278,10 +278,46 @@ def table_counts(spark, d):
     return schema.table_counts({n: table(spark, d, n) for n in ("part", "lineitem", "orders", "documents", "events")})
 
 
-@query("introspect")
+# The columns of the given tables.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def _introspect_sql() -> str:
+    parts = []
+    for name, columns in _SCHEMAS.items():
+        for i, column in enumerate(columns.split(", "), 1):
+            field, kind = column.split()
+            default = _PART_TABLE.definitions()[field].default if name == "part" and field in _PART_TABLE.definitions() else None
+            key = name == "part" and field in _PART_TABLE.merge_keys()
+            shown = "CAST(NULL AS VARCHAR)" if default is None else f"'{default}'"
+            parts.append(
+                f"SELECT '{name}' AS \"table\", CAST({i} AS INTEGER) AS position, '{field}' AS name, '{kind}' AS type, true AS nullable, "
+                f"{shown} AS \"default\", {str(key).lower()} AS key, (SELECT count(*) FROM {name}) AS rows"
+            )
+    return " UNION ALL ".join(parts)
+
+
+@query("introspect", _introspect_sql())
 def introspect(spark, d):
-    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-    return schema.introspect({n: (table(spark, d, n), _PART_TABLE if n == "part" else None) for n in names.split()})
+    """Columns of every table, with its number of rows."""
+    tables = {n: table(spark, d, n) for n in _SCHEMAS}
+    columns = schema.introspect({n: (df, _PART_TABLE if n == "part" else None) for n, df in tables.items()})
+    return columns.join(schema.table_counts(tables), "table")
 
 
 @query("distinct_attributes", """

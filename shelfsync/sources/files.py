@@ -116,11 +116,32 @@ def scan_folder_table(spark: SparkSession, base: str, spec: FolderTable, empty_f
     return rows.select(*keys, *spec.fields)
 
 
-def scan_folder_table_dynamic(spark: SparkSession, base: str, spec: FolderTable) -> DataFrame:
-    """As above with one column per file name found anywhere in the table."""
-    name = F.regexp_replace("file", re.escape(spec.extension) + "$", "")
-    files = _record_files(spark, base, spec).withColumn("name", name)
-    rows = files.groupBy("record").pivot("name").agg(F.max("text"))
-    found = [c for c in rows.columns if c != "record"]
+#: Columns that a folder table read without a declaration may have.
+MOST_FIELDS = 5000
+
+
+def scan_folder_table_dynamic(
+    spark: SparkSession, base: str, spec: FolderTable, names: Sequence[str] | None = None, empty_folders: bool = True
+) -> DataFrame:
+    """Every record folder, with one column per file name found anywhere in the table.
+
+    A column is named like its files without their extension, whatever that is; of two files with one name the last
+    by extension counts. Declare ``names`` to fix the columns and save the pass that looks for them; without them
+    more than MOST_FIELDS different names are refused.
+    """
+    parts = F.split("path", "/")
+    text = F.rtrim(F.decode("content", spec.encoding), F.lit("\r\n"))
+    rows = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/{spec.folder}/*/*")
+    files = rows.select(F.element_at(parts, -2).alias("record"), F.element_at(parts, -1).alias("file"), text.alias("text"))
+    files = files.withColumn("name", stem(F.col("file")))
+    if names is None:
+        found = files.select("name").distinct().orderBy("name").limit(MOST_FIELDS + 1).collect()
+        if len(found) > MOST_FIELDS:
+            raise ValueError(f"folder table {spec.folder} has more than {MOST_FIELDS} different file names")
+        names = [r["name"] for r in found]
+    if empty_folders:
+        files = files.unionByName(_record_folders(spark, base, spec), allowMissingColumns=True)
+    values = [F.max_by(F.when(F.col("name") == n, F.col("text")), F.when(F.col("name") == n, F.col("file"))).alias(n) for n in names]
+    rows = files.groupBy("record").agg(*values) if values else files.select("record").distinct()
     rows, keys = _keys(rows, spec)
-    return rows.select(*keys, *[F.col(f"`{c}`") for c in found])
+    return rows.select(*keys, *[F.col(f"`{n}`") for n in names])

@@ -75,8 +75,10 @@ class SnapshotStore:
         return self.spark.read.parquet(path).withColumnsRenamed({f"__{c}": c for c in drop_on_read})
 
     def drop_old(self, name: str, keep: int = 2) -> int:
-        """Delete all but the newest complete snapshots; returns how many went."""
-        old = self._numbers(name, complete=True)[: -max(1, keep)]
+        """Delete all but the newest complete snapshots, and the incomplete ones older than those; returns how many went."""
+        complete = self._numbers(name, complete=True)
+        stay = complete[-max(1, keep) :]
+        old = [n for n in self._numbers(name, complete=False) if stay and n < stay[-1] and n not in stay]
         for number in old:
             path = self._path(name, f"{_PREFIX}{number:08d}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import iso_time
@@ -40,11 +39,6 @@ def scan_table(spark: SparkSession, spec: SourceTable, root: str, format: str =
     return project(spark.read.format(format).load(f"{root.rstrip('/')}/{spec.table}"), spec)
 
 
-def cached_scan(df: DataFrame) -> DataFrame:
-    """Keep a source that several entities of a run read, where it is small enough to keep."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def iso_dates(df: DataFrame) -> DataFrame:
     """Every date and time column as ISO-8601 text."""
     return df.select(
@@ -72,7 +66,12 @@ def jdbc_options(kind: str, database: str, host: str = "", port: int = 0, **opti
     return {**base, **{k: str(v) for k, v in options.items()}}
 
 
-def scan_jdbc(spark: SparkSession, spec: SourceTable, options: Mapping[str, str]) -> DataFrame:
-    """Filtered, pruned database scan; Spark pushes the filter and the columns down."""
+def scan_jdbc(spark: SparkSession, spec: SourceTable, options: Mapping[str, str], one_task: bool = False) -> DataFrame:
+    """Filtered, pruned database scan; Spark pushes the filter and the columns down.
+
+    Without a partition column the whole table comes through one task; that has to be asked for.
+    """
+    if "partitionColumn" not in options and not one_task:
+        raise ValueError(f"{spec.table}: name a partition column and its bounds, or pass one_task=True for a small table")
     rows = spark.read.format("jdbc").options(**options).option("dbtable", spec.table).load()
     return iso_dates(project(rows, spec))

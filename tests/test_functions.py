@@ -1,5 +1,7 @@
 """Column functions against values worked out by hand."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -208,8 +210,29 @@ def test_loose_compare(spark, a, b, type_a, type_b, expected):
 def test_file_token(spark):
     token = lambda algo: one(spark, compare.file_token(F.col("m"), F.col("s"), algo), m="t", s=5)
     assert token("mtime_size") == "t|5"
+    assert len(token("md5")) == 32 and len(token("sha256")) == 64
+    assert token("crc32b") == f"{zlib.crc32(b't|5'):08x}"
     assert token("sha256") == token("unknown")
-    assert len(token("md5")) == 32
+    with pytest.raises(ValueError):
+        compare.file_token(F.col("m"), F.col("s"), "xxh3")
+
+
+@pytest.mark.parametrize("a,b,differ", [("9007199254740993001", "9007199254740993002", True), ("9007199254740993001", " +09007199254740993001", False), ("-0", "0", False), ("-00012", "-12", False), ("1" * 40, "1" * 39 + "2", True), ("1e3", "1000", False)])
+def test_long_numbers_compare_exactly(spark, a, b, differ):
+    row = spark.createDataFrame([(a, b)], "a string, b string")
+    kinds = row.schema["a"].dataType, row.schema["b"].dataType
+    assert row.select(compare.loose_ne("a", "b", *kinds)).first()[0] is differ
+    left, right = row.selectExpr(compare.canonical("a", kinds[0]), compare.canonical("b", kinds[1])).first()
+    assert (left != right) is differ
+
+
+def test_to_int_is_exact(spark):
+    assert one(spark, numbers.to_int(F.col("v")), v="9007199254740993001") == 9007199254740993001
+    assert one(spark, numbers.to_int(F.col("v")), v="9" * 30) is None
+
+
+def test_letters_without_marks(spark):
+    assert one(spark, text.slugify(F.col("v")), v="Smørrebrød łódź Œuvre Đặng ĲSSEL") == "smorrebrod-lodz-oeuvre-dang-ijssel"
 
 
 def test_case_keys(spark):
