@@ -5,15 +5,17 @@ over each dimension meet their targets; it stops when all do. The factor of its
 and, scaled to the wanted number of tokens, its probability of being drawn. A document is drawn when the
 hash of its id lies below that probability, so a repeated run draws the same.
 
-Cells are rows of a DataFrame throughout: there may be as many as sources, and none is gathered on the driver.
+There may be as many cells as sources: above a checked number they stay rows of a table throughout.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .batches import stored, uniform
 
@@ -23,6 +25,8 @@ NONE = "(none)"
 FLATTEN = {"source": 0.7, "lang": 0.5, "topic": 0.8}
 TOLERANCE = 1e-4
 ROUNDS = 60
+#: Cells up to which raking runs on the driver (a few megabytes); more cells are raked as a table, to the same factors.
+FEW = 50_000
 
 
 @dataclass(frozen=True)
@@ -78,6 +82,8 @@ def rake(cells: DataFrame, wanted: dict[str, DataFrame]) -> DataFrame:
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
         return cells.withColumn("factor", F.lit(1.0))
+    if cells.count() <= FEW:
+        return _rake_few(cells, wanted, float(total))
     at = cells.withColumn("factor", F.lit(1.0))
     for _ in range(ROUNDS):
         for name, shares in wanted.items():
@@ -95,6 +101,29 @@ def rake(cells: DataFrame, wanted: dict[str, DataFrame]) -> DataFrame:
     return at
 
 
+def _rake_few(cells: DataFrame, wanted: dict[str, DataFrame], total: float) -> DataFrame:
+    rows = cells.collect()  # FEW at most
+    n = np.array([float(r["tokens"]) for r in rows])
+    factor = np.ones(len(rows))
+    sides = []
+    for name, shares in wanted.items():
+        target = {r[name]: r["target"] for r in shares.collect()}
+        levels = sorted({r[name] for r in rows})
+        place = {v: i for i, v in enumerate(levels)}
+        sides.append((np.array([place[r[name]] for r in rows]), np.array([target.get(v, 0.0) for v in levels])))
+    for _ in range(ROUNDS):
+        worst = 0.0
+        for at, target in sides:
+            now = np.bincount(at, n * factor, len(target)) / total
+            step = np.divide(target, now, out=np.ones(len(target)), where=now > 0)
+            factor *= step[at]
+            worst = max(worst, float(np.abs(step - 1).max()))
+        if worst < TOLERANCE:
+            break
+    values = [(*r, float(f)) for r, f in zip(rows, factor)]
+    return cells.sparkSession.createDataFrame(values, StructType([*cells.schema.fields, StructField("factor", DoubleType())]))
+
+
 def _scale(cells: DataFrame, share: float) -> float:
     """The multiplier c for which the sum of tokens * min(1, c * factor) is the wanted share of all tokens.
 

@@ -211,7 +211,9 @@ def test_estimate_is_close():
 # --- mixing --------------------------------------------------------------------------------------------------
 
 
-def test_raked_weights_meet_the_targets(spark):
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_raked_weights_meet_the_targets(spark, monkeypatch, few):
+    monkeypatch.setattr(mixing, "FEW", few)
     draw = random.Random(6)
     rows = [(i, "w " * draw.randint(1, 30) + draw.choice(("", " a | b ", "x@y", "{ ; }")), draw.choice(("en", "de", None)), draw.choice(("a", "a", "a", "b", "c")), 1) for i in range(2000)]
     rows += [(5000, None, "en", "a", 0), (5001, "", "xx", "zz", 0), (None, "one two", "en", "a", 7), rows[0]]
