@@ -126,3 +126,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(marked.n, 0)::BIGINT AS n_hit
   sha256(coalesce(named.ids, '')) AS items_sha256, coalesce(marked.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
 """
+
+ORACLES["op10_near_duplicates"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), g AS (
+  SELECT r, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)] END)) AS s
+  FROM d
+), n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, s.b FROM reach JOIN s ON reach.b = s.a),
+m AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN m USING (r) LEFT JOIN n USING (r)
+"""
