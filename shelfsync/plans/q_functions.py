@@ -315,7 +315,8 @@ b AS (SELECT doc_id, regexp_replace(t, '\\r\\n?', chr(10), 'g') AS t FROM a),
 c AS (SELECT doc_id, regexp_replace(t, '[ \\t]+\\n', chr(10), 'g') AS t FROM b),
 e AS (SELECT doc_id, regexp_replace(t, '[ \\t]+', ' ', 'g') AS t FROM c),
 f AS (SELECT doc_id, regexp_replace(t, '^\\s*[\\w\\s\\-,.]+;', '') AS t FROM e)
-SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: {sql_trim('x')}), lambda x: x <> ''), '<br>')) AS html
+SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: {sql_trim('x')}), lambda x: x <> ''), '<br>')) AS html,
+       CASE doc_id % 3 WHEN 0 THEN 'fein<br>' || doc_id WHEN 1 THEN 'Größe ' || doc_id || '<br>zwei' ELSE doc_id || ' plain' END AS rich
 FROM f""")
 def rtf_clean(spark, d):
     lang, body = F.col("lang"), F.col("text")
@@ -324,7 +325,13 @@ def rtf_clean(spark, d):
         .when(lang == "fr", F.replace(body, F.lit("\n"), F.lit("\r\n  ")))
         .otherwise(F.concat(body, F.lit("   \n")))
     )
-    return table(spark, d, "documents").select("doc_id", F.md5(rtf.rtf_to_html(raw)).alias("html"))
+    key = F.col("doc_id").cast("string")
+    rich = (
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("{\\rtf1 fein\\par "), key, F.lit("}")))
+        .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("{\\rtf1\\ansi{\\fonttbl{\\f0 Arial;}}\\f0 Gr\\'f6\\'dfe "), key, F.lit("\\par\\par \\b zwei\\b0}")))
+        .otherwise(F.concat(key, F.lit("  plain ")))
+    )
+    return table(spark, d, "documents").select("doc_id", F.md5(rtf.rtf_to_html(raw)).alias("html"), rtf.rtf_to_html(rich).alias("rich"))
 
 
 @query("html_strip", r"""

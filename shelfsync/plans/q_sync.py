@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import compare, logic, numbers, registry, text
 from ..operators import delta, lookups, merge, run_log, slugs, sync, tree
 from ..operators.orphans import OrphanPolicy, orphan_update
+from ..operators.schema import table_counts
 from ..sources.snapshots import SnapshotStore
 from . import catalog as cat
 from .base import query, scratch, sql_number, sql_slug, table
@@ -373,6 +374,19 @@ def run_totals(spark, d):
     return sync.run_totals(stats).withColumn("percent", run_log.progress_percent(done, F.lit(3)))
 
 
+@query("truncate_all", """
+SELECT 'customer' AS "table", (SELECT count(*) FROM customer) AS removed, CAST(0 AS BIGINT) AS left_over
+UNION ALL SELECT 'supplier', (SELECT count(*) FROM supplier), CAST(0 AS BIGINT)""")
+def truncate_all(spark, d):
+    """Two stored tables emptied: rows removed, and rows left."""
+    store = SnapshotStore(spark, scratch(spark, "truncate"))
+    for name in ("customer", "supplier"):
+        store.write(name, table(spark, d, name))
+    removed = store.truncate_all()
+    left = table_counts(store.tables()).select("table", F.col("rows").alias("left_over"))
+    return removed.join(left, "table")
+
+
 @query("distinct_masters", f"""
 WITH i AS ({cat.INCOMING}), o AS ({cat.STORED})
 SELECT m AS master_model, CAST(count(*) AS BIGINT) AS variants, CAST(count(o.model) AS BIGINT) AS resolved
