@@ -28,9 +28,9 @@ VOCABULARY = CLASSES * WITHIN
 HASHED = 64
 SIDE = 2
 WIDTH = 16
-ROUNDS = 2
+ROUNDS = 1
 #: One in so many positions of every document is trained on in each round; positions differ from round to round.
-STRIDE = 16
+STRIDE = 10
 MINI = 256
 #: Positions of a task that are trained on at least, by repeating the few of a small table.
 LEAST = 1 << 15
