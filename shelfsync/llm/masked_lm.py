@@ -4,6 +4,9 @@ Every token is predicted from the tokens on both sides of it. The network adds u
 neighbour by its distance, bends the sum, and predicts first the token's class and then the token within the class, so
 that a prediction costs two small softmaxes. A document's score is the sum of its conditional log-probabilities.
 
+The network tells apart the most frequent words and buckets of all others. A word of a bucket is then predicted within
+it, by a table of counts of every word of the corpus, which grows with the input and stays in Spark.
+
 Training is data-parallel: each task runs SGD over its own part of the documents from the common start, and the
 models are averaged by the number of positions they have seen. A second round starts from the average.
 """
@@ -16,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_columns, pieces
+from .batches import map_columns, pieces, stored
 
 #: Classes, and tokens of a class. Tokens beyond the most frequent words share HASHED places by a hash.
 CLASSES = 32
@@ -43,6 +47,8 @@ WORD = re.compile(r"\w+|[^\w\s]")
 #: Distinct words that a task counts before it passes its counts on.
 COUNTED = 400_000
 PAD = 0
+#: Logarithms are summed as whole multiples of 1 / UNIT, so that a sum does not depend on the order of its rows.
+UNIT = float(1 << 32)
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
@@ -50,14 +56,15 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def vocabulary(documents: DataFrame) -> dict[str, int]:
-    """Numbers of the most frequent words, counted over all documents; ties in the order of the words."""
+def counted(documents: DataFrame) -> DataFrame:
+    """word, bucket (the number it has if it is rare) and n of every word of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
 
         def put() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
+            cols = {"word": pa.array(counts.keys(), pa.string()), "bucket": pa.array(map(bucket, counts), pa.int32()), "n": pa.array(counts.values(), pa.int64())}
+            out = pa.RecordBatch.from_pydict(cols)
             counts.clear()
             return out
 
@@ -69,19 +76,29 @@ def vocabulary(documents: DataFrame) -> dict[str, int]:
                     yield put()
         yield put()
 
-    counts = documents.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = documents.select("text").mapInArrow(run, "word string, bucket int, n long")
+    return stored(counts.groupBy("word", "bucket").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> dict[str, int]:
+    """Numbers of the most frequent words, counted over all documents; ties in the order of the words."""
+    counts = counted(documents) if counts is None else counts
     rows = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1 - HASHED).collect()
     return {r["word"]: i + 1 for i, r in enumerate(rows)}
 
 
+def bucket(word: str) -> int:
+    return VOCABULARY - HASHED + (len(word) * 7 + ord(word[-1])) % HASHED
+
+
 class Numbers(dict):
-    """Numbers of words. A rare word gets one of HASHED numbers by its length and last letter.
+    """Numbers of words. A rare word gets that of its bucket, one of HASHED, by its length and last letter.
 
     Number n belongs to class n % CLASSES, so that every class has frequent and rare words.
     """
 
     def __missing__(self, word: str) -> int:
-        return VOCABULARY - HASHED + (len(word) * 7 + ord(word[-1])) % HASHED
+        return bucket(word)
 
 
 def encoded(found: list[str], numbers: Numbers) -> np.ndarray:
@@ -251,20 +268,30 @@ def _rows(weights: np.ndarray, seen: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["place", "value", "n"])
 
 
-def score(documents: DataFrame, known: dict[str, int], weights: np.ndarray) -> DataFrame:
+def score(documents: DataFrame, known: dict[str, int], weights: np.ndarray, counts: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (the sum over all tokens) and mean of every row.
 
     A null or empty text, or one without a token, has no tokens, the sum 0 and a null mean. Equal texts have
-    equal scores.
+    equal scores. A rare word counts with log p(bucket | neighbours) + log p(word | bucket); of the latter the
+    counts (by default those of the documents themselves) are raised by one, and one more is kept for words
+    that they do not have.
     """
-    sent = documents.sparkSession.sparkContext.broadcast((known, weights))  # fixed size
+    counts = counted(documents) if counts is None else counts
+    rare = counts.filter(~F.col("word").isin(list(known))) if known else counts
+    totals = np.zeros(VOCABULARY)
+    for r in rare.groupBy("bucket").agg((F.sum("n") + F.count("*") + 1).alias("total")).collect():  # HASHED rows at most
+        totals[r["bucket"]] = np.log(r["total"])
+    sent = documents.sparkSession.sparkContext.broadcast((known, weights, totals))  # fixed size
 
     def start():
-        known, own = sent.value
+        known, own, totals = sent.value
         numbers, net = Numbers(known), Network(own)
+        task, passed = TaskContext.get().partitionId(), 0
 
         def rows(at):
-            tokens = [encoded(words(t), numbers) for t in at["text"]]
+            nonlocal passed
+            found = [words(t) for t in at["text"]]
+            tokens = [encoded(f, numbers) for f in found]
             sizes = np.array([len(t) for t in tokens])
             sums = np.zeros(len(tokens))
             if sizes.sum():
@@ -274,11 +301,21 @@ def score(documents: DataFrame, known: dict[str, int], weights: np.ndarray) -> D
                 logs = [net.log_probabilities(around[:, i : i + cut], target[i : i + cut]) for i in range(0, len(target), cut)]
                 full = sizes > 0
                 begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-                sums[full] = np.add.reduceat(np.concatenate(logs).astype(np.float64), begins)
-            means = [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist())]
-            return {"doc_id": at["doc_id"], "n_tokens": sizes, "log_likelihood": sums, "mean": means}
+                sums[full] = np.add.reduceat(np.concatenate(logs).astype(np.float64) - totals[target], begins)
+            row = [(task << 40) + passed + i for i in range(len(tokens))]
+            passed += len(tokens)
+            others = [list(Counter(w for w in f if w not in known).items()) for f in found]
+            return {"row": row, "doc_id": at["doc_id"], "n_tokens": sizes, "log_likelihood": sums, "rare": others}
 
         return rows
 
-    kind = "doc_id long, n_tokens long, log_likelihood double, mean double"
-    return map_columns(documents.select(F.col("doc_id").cast("long"), "text"), kind, start)
+    kind = "row long, doc_id long, n_tokens long, log_likelihood double, rare map<string,int>"
+    base = stored(map_columns(documents.select(F.col("doc_id").cast("long"), "text"), kind, start), "scores")
+    met = base.select("row", F.explode("rare").alias("word", "times")).join(rare.select("word", "n"), "word", "left")
+    one = F.round(F.log(F.coalesce("n", F.lit(0)) + 1.0) * UNIT).cast("long")
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in base.dtypes[1:4]]
+    parts = met.select("row", *nothing, (one * F.col("times")).alias("within"))
+    every = base.select("row", "doc_id", "n_tokens", "log_likelihood", F.lit(0).cast("long").alias("within")).unionAll(parts)
+    sums = every.groupBy("row").agg(*(F.max(n).alias(n) for n in ("doc_id", "n_tokens", "log_likelihood")), F.sum("within").alias("within"))
+    total = F.col("log_likelihood") + F.col("within") / UNIT
+    return sums.select("doc_id", "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean"))

@@ -46,8 +46,9 @@ def op3_toxicity(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op4_masked_lm(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents")
-    known = masked_lm.vocabulary(documents)
-    return masked_lm.score(documents, known, masked_lm.learn(documents, known))
+    counts = masked_lm.counted(documents)
+    known = masked_lm.vocabulary(documents, counts)
+    return masked_lm.score(documents, known, masked_lm.learn(documents, known), counts)
 
 
 @query

@@ -90,6 +90,23 @@ def test_masked_likelihood_prefers_the_corpus(spark):
     assert masked_lm.vocabulary(empty) == {} and masked_lm.score(empty, {}, masked_lm.learn(empty, {})).count() == 0
 
 
+def test_rare_words_are_told_apart_within_their_bucket(spark):
+    texts = ["lemon melon", *["lemon"] * 9, "lexon", "lemon lexon lemon", "lexon lexon lexon lexon"]  # one bucket: equal length and last letter
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], KIND)
+    plain = masked_lm.Network.start()
+    got = {r["doc_id"]: r for r in masked_lm.score(docs, {}, plain).collect()}
+    n = {"lemon": 12, "lexon": 6, "melon": 1}
+    assert {r["word"]: r["n"] for r in masked_lm.counted(docs).collect()} == n
+    assert abs(got[1]["mean"] - got[10]["mean"] - np.log(13 / 7)) < 1e-6
+    one = np.full((len(masked_lm.OFFSETS), 1), masked_lm.PAD), np.array([masked_lm.bucket("lemon")])
+    in_bucket = float(masked_lm.Network(plain).log_probabilities(*one)[0])
+    assert abs(got[1]["mean"] - in_bucket - np.log(13 / (sum(n.values()) + len(n) + 1))) < 1e-5
+    assert len({got[i]["mean"] for i in range(1, 10)}) == 1
+    more = spark.createDataFrame([(1, "lemon", "en", "s", 1), (2, "nixon", "en", "s", 1)], KIND)
+    new = {r["doc_id"]: r["mean"] for r in masked_lm.score(more, {}, plain, masked_lm.counted(docs)).collect()}
+    assert abs(new[1] - new[2] - np.log(13)) < 1e-6
+
+
 def test_languages(spark):
     draw = random.Random(3)
     other = "scha tung keit ver ein ich heit pfa zu gen ber".split()
