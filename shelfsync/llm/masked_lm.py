@@ -7,8 +7,8 @@ that a prediction costs two small softmaxes. A document's score is the sum of it
 The network tells apart the most frequent words and buckets of all others. A word of a bucket is then predicted within
 it, by a table of counts of every word of the corpus, which grows with the input and stays in Spark.
 
-Training is data-parallel: each task runs SGD over its own part of the documents from the common start, and the
-models are averaged by the number of positions they have seen. A second round starts from the average.
+Training is data-parallel: each task runs SGD over every position of its own part of the documents from the common
+start, and the models are averaged by the number of positions they have seen. The second round starts from the average.
 """
 
 from __future__ import annotations
@@ -32,13 +32,8 @@ VOCABULARY = CLASSES * WITHIN
 HASHED = 64
 SIDE = 2
 WIDTH = 16
-ROUNDS = 1
-#: One in so many positions of every document is trained on in each round; positions differ from round to round.
-STRIDE = 10
+ROUNDS = 2
 MINI = 256
-#: Positions of a task that are trained on at least, by repeating the few of a small table.
-LEAST = 1 << 15
-REPEATS = 12
 SCALE = 64.0
 RATE = 1.0
 #: Positions of a task between two outputs of what it has learnt.
@@ -50,6 +45,7 @@ PAD = 0
 #: Logarithms are summed as whole multiples of 1 / UNIT, so that a sum does not depend on the order of its rows.
 UNIT = float(1 << 32)
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
+STARTS = VOCABULARY * np.arange(len(OFFSETS), dtype=np.int32)[:, None]
 
 
 def words(text: str | None) -> list[str]:
@@ -153,29 +149,31 @@ class Network:
         """One step of SGD on a mini-batch. Rates are of a mean over SCALE positions, so that frequent weights, which get
         the gradients of many positions at once, stay stable."""
         order = np.argsort(target % CLASSES, kind="stable")
-        around, kind, place = around[:, order], target[order] % CLASSES, target[order] // CLASSES
-        h = self.hidden(around)
+        kind, place = target[order] % CLASSES, target[order] // CLASSES
+        rows = (around[:, order] + STARTS).ravel()  # of all embeddings one below the other
+        embed = self.embed.reshape(-1, WIDTH)
+        h = np.tanh(embed[rows].reshape(len(OFFSETS), -1, WIDTH).sum(axis=0))
         rate /= SCALE
-        p = _error(self.classes.T @ h + self.class_bias[:, None], kind)
-        back = self.classes @ p
-        cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            if cuts[c] == cuts[c + 1]:
-                continue
-            at = slice(cuts[c], cuts[c + 1])
-            q = _error(self.tokens[c].T @ h[:, at] + self.token_bias[c][:, None], place[at])
-            back[:, at] += self.tokens[c] @ q
-            self.tokens[c] -= rate * (h[:, at] @ q.T)
-            self.token_bias[c] -= rate * q.sum(axis=1)
-        self.classes -= rate * (h @ p.T)
-        self.class_bias -= rate * p.sum(axis=1)
+        p = _error(h @ self.classes + self.class_bias, kind)
+        cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+        groups = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+        q = self.token_bias[kind]
+        for c, at in groups:
+            q[at] += h[at] @ self.tokens[c]
+        q = _error(q, place)
+        back = p @ self.classes.T
+        down = rate * q
+        for c, at in groups:
+            back[at] += q[at] @ self.tokens[c].T
+            self.tokens[c] -= h[at].T @ down[at]
+        self.token_bias[[c for c, _ in groups]] -= np.add.reduceat(down, [at.start for _, at in groups], axis=0)
+        self.classes -= rate * (h.T @ p)
+        self.class_bias -= rate * p.sum(axis=0)
         back *= rate * (1 - h * h)
-        back = np.ascontiguousarray(back.T)
-        for k in range(len(OFFSETS)):
-            by = np.argsort(around[k], kind="stable")
-            rows = around[k][by]
-            first = np.flatnonzero(np.diff(rows, prepend=-1))
-            self.embed[k][rows[first]] -= np.add.reduceat(back[by], first, axis=0)
+        by = np.argsort(rows, kind="stable")
+        rows = rows[by]
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        embed[rows[first]] -= np.add.reduceat(back[by % len(back)], first, axis=0)
 
 
 def _log_softmax(z: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -184,11 +182,12 @@ def _log_softmax(z: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def _error(z: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Softmax of each column less one at its target."""
-    e = np.exp(z - z.max(axis=0))
-    e /= e.sum(axis=0)
-    e[target, np.arange(z.shape[1])] -= 1
-    return e
+    """Softmax of each row less one at its target, in place of z."""
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    z[np.arange(len(z)), target] -= 1
+    return z
 
 
 def neighbours(tokens: np.ndarray) -> np.ndarray:
@@ -197,14 +196,8 @@ def neighbours(tokens: np.ndarray) -> np.ndarray:
     return np.stack([wide[SIDE + o : SIDE + o + len(tokens)] for o in OFFSETS])
 
 
-def positions(n: int, turn: int) -> np.ndarray:
-    """Those of a document's n positions that a round trains on, scattered so that no rhythm of the text matters."""
-    scattered = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n) * np.uint64(0xD6E8FEB86659FD93)
-    return np.flatnonzero((scattered >> np.uint64(40)) % np.uint64(STRIDE) == turn % STRIDE)
-
-
 def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
-    """The averaged weights after ROUNDS rounds over all documents."""
+    """The averaged weights after ROUNDS rounds over every position of all documents."""
     spark = documents.sparkSession
     weights = Network.start()
     texts = documents.select("text").filter("text IS NOT NULL")
@@ -220,11 +213,10 @@ def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
             def train() -> int:
                 a, t = np.concatenate(around, axis=1), np.concatenate(targets)
                 rng = np.random.default_rng(seen + turn)
-                for _ in range(max(1, min(REPEATS, LEAST // len(t)))):
-                    order = rng.permutation(len(t))
-                    for at in range(0, len(t), MINI):
-                        pick = order[at : at + MINI]
-                        net.step(a[:, pick], t[pick], RATE / (1 + turn))
+                order = rng.permutation(len(t))
+                for at in range(0, len(t), MINI):
+                    pick = order[at : at + MINI]
+                    net.step(a[:, pick], t[pick], RATE / (1 + turn))
                 around.clear()
                 targets.clear()
                 return len(t)
@@ -234,11 +226,10 @@ def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
                 for part in pieces(batch):
                     for text in part.column(0).to_pylist():
                         tokens = encoded(words(text), numbers)
-                        at = positions(len(tokens), turn)
-                        if len(at):
-                            around.append(neighbours(tokens)[:, at])
-                            targets.append(tokens[at])
-                            held += len(at)
+                        if len(tokens):
+                            around.append(neighbours(tokens))
+                            targets.append(tokens)
+                            held += len(tokens)
                         if held >= 1 << 16:
                             seen += train()
                             held = 0

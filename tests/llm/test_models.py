@@ -90,6 +90,16 @@ def test_masked_likelihood_prefers_the_corpus(spark):
     assert masked_lm.vocabulary(empty) == {} and masked_lm.score(empty, {}, masked_lm.learn(empty, {})).count() == 0
 
 
+def test_masked_training_sees_every_position(spark):
+    line = [f"w{i:03d}" for i in range(600)]  # each word once: its embedding moves only if its neighbour is trained on
+    docs = spark.createDataFrame([(1, " ".join(line), "en", "s", 1)], KIND)
+    known = masked_lm.vocabulary(docs)
+    start, got = masked_lm.Network(masked_lm.Network.start()), masked_lm.Network(masked_lm.learn(docs, known))
+    own = [known[w] for w in line[2:-2]]
+    moved = np.abs(got.embed - start.embed).max(axis=2) > 0
+    assert moved[:, own].all() and masked_lm.ROUNDS >= 2
+
+
 def test_rare_words_are_told_apart_within_their_bucket(spark):
     texts = ["lemon melon", *["lemon"] * 9, "lexon", "lemon lexon lemon", "lexon lexon lexon lexon"]  # one bucket: equal length and last letter
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], KIND)
