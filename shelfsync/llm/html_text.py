@@ -2,8 +2,9 @@
 
 A page is cut into blocks at its block elements. The first pass labels every block by stop-word density, link
 density and length: good, bad, or short (undecided). The second gives undecided blocks the label of the nearest
-decided blocks of the same region: between two of one label that label, otherwise that of the nearer one. What
-stands in menus, footers, forms and the like is never text, whatever it reads like.
+decided blocks of the same region: between two of one label that label, otherwise that of the nearer one. An article
+or main element is a region of its own; where nothing in a region is decided, it speaks for its text. What stands in
+menus, footers, forms and the like is never text, whatever it reads like.
 """
 
 from __future__ import annotations
@@ -196,7 +197,7 @@ def _first_pass(b: _Block) -> str:
         return "short"
     if density >= STOP_HIGH or (size >= LONG and density >= STOP_LOW):
         return "good"
-    if density >= STOP_LOW or b.region:
+    if density >= STOP_LOW or b.region:  # lists, code and figures of an article go with what stands around them
         return "short"
     return "bad"
 
@@ -209,7 +210,6 @@ def labels(found: list[_Block]) -> list[bool]:
         if not b.barred:
             by_region.setdefault(b.region, []).append(i)
     out = [False] * len(found)
-    article = any(region for region in by_region)
     for region, own in by_region.items():
         decided = [(k, first[i]) for k, i in enumerate(own) if first[i] != "short"]
         before: list[tuple[int, str] | None] = []
@@ -232,12 +232,9 @@ def labels(found: list[_Block]) -> list[bool]:
             if not decided:
                 out[i] = region > 0  # nothing decided near: an article element speaks for its text
             elif len({x[1] for x in near}) == 1:
-                out[i] = near[0][1] == "good" or region > 0
+                out[i] = near[0][1] == "good"
             else:
-                out[i] = region > 0 or min(near, key=lambda x: (abs(x[0] - k), x[1] == "bad"))[1] == "good"
-        if article and not region:  # with an article on the page, text outside of it has to be long to count
-            for i in own:
-                out[i] = False
+                out[i] = min(near, key=lambda x: (abs(x[0] - k), x[1] == "bad"))[1] == "good"
     return out
 
 

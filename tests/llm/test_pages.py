@@ -31,6 +31,17 @@ def test_undecided_blocks_follow_the_nearest_decided_one():
     assert html_text.main_text(f"<p>{LONG}</p><p>near the text</p>{bad}<p>near the links</p>{bad}") == f"{LONG}\nnear the text"
 
 
+def test_text_outside_of_a_teaser_article_is_kept():
+    teaser = "<article><h3>A card</h3><p>Read on.</p></article>"
+    assert html_text.main_text(f"{teaser}<div><p>{LONG}</p><p>In between.</p><p>{LONG}</p></div>") == f"A card\nRead on.\n{LONG}\nIn between.\n{LONG}"
+
+
+def test_undecided_blocks_of_an_article_follow_their_neighbours():
+    bad = "<div><a href='/'>" + "link text " * 12 + "</a></div>"
+    dense = "Xyz Qrs Tuv Wxy 123 456 Xyz Qrs Tuv Wxy 123 456 Xyz Qrs Tuv Wxy 123 456 Zz"
+    assert html_text.main_text(f"<article><p>{LONG}</p><p>near the text</p>{bad}<p>near the links</p>{bad}<p>{dense}</p></article>") == f"{LONG}\nnear the text"
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!--", "<script>", "&", "<p>" * 500])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
