@@ -4,7 +4,8 @@ A page is cut into blocks at its block elements. The first pass labels every blo
 density and length: good, bad, or short (undecided). The second gives undecided blocks the label of the nearest
 decided blocks of the same region: between two of one label that label, otherwise that of the nearer one. An article
 or main element is a region of its own; where nothing in a region is decided, it speaks for its text. What stands in
-menus, footers, forms and the like is never text, whatever it reads like.
+menus, footers, forms and the like is never text, whatever it reads like. A page on which no block is dense enough in
+stop words is one of an unknown language, and goes by link density and length.
 """
 
 from __future__ import annotations
@@ -185,16 +186,17 @@ def blocks(page: str) -> list[_Block]:
     return out
 
 
-def _first_pass(b: _Block) -> str:
+def _first_pass(b: _Block, foreign: bool = False) -> str:
     if b.barred:
         return "bad"
     size = len(b.text)
     if b.links > LINKS * size:
         return "bad"
-    words = WORDS.findall(b.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
     if size < SHORT or b.heading:
         return "short"
+    if foreign:
+        return "good"
+    density = _density(b)
     if density >= STOP_HIGH or (size >= LONG and density >= STOP_LOW):
         return "good"
     if density >= STOP_LOW or b.region:  # lists, code and figures of an article go with what stands around them
@@ -202,9 +204,16 @@ def _first_pass(b: _Block) -> str:
     return "bad"
 
 
+def _density(b: _Block) -> float:
+    words = WORDS.findall(b.text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
 def labels(found: list[_Block]) -> list[bool]:
     """Whether each block is text, after both passes."""
     first = [_first_pass(b) for b in found]
+    if "good" not in first and all(_density(b) < STOP_LOW for b in found if not b.barred and len(b.text) >= SHORT and b.links <= LINKS * len(b.text)):
+        first = [_first_pass(b, foreign=True) for b in found]
     by_region: dict[int, list[int]] = {}
     for i, b in enumerate(found):
         if not b.barred:

@@ -36,6 +36,12 @@ def test_text_outside_of_a_teaser_article_is_kept():
     assert html_text.main_text(f"{teaser}<div><p>{LONG}</p><p>In between.</p><p>{LONG}</p></div>") == f"A card\nRead on.\n{LONG}\nIn between.\n{LONG}"
 
 
+def test_pages_of_an_unknown_language_go_by_links_and_length():
+    text = "Talo seisoi mäen päällä ja siinä asui vanha mies, joka oli ollut sodassa eikä halunnut puhua siitä kenellekään."
+    page = f"<div><a href='/'>{'linkki toinen ' * 8}</a></div><h1>Otsikko</h1><p>{text}</p><p>Lyhyt.</p><p>{text}</p>"
+    assert html_text.main_text(page) == f"Otsikko\n{text}\nLyhyt.\n{text}"
+
+
 def test_undecided_blocks_of_an_article_follow_their_neighbours():
     bad = "<div><a href='/'>" + "link text " * 12 + "</a></div>"
     dense = "Xyz Qrs Tuv Wxy 123 456 Xyz Qrs Tuv Wxy 123 456 Xyz Qrs Tuv Wxy 123 456 Zz"
