@@ -39,16 +39,26 @@ SENSITIVE = {
 }
 THRESHOLD = 4.0
 SHORTEST = 8
+#: With a name of this weight every quoted literal of so many characters is reported, but for placeholders.
+STRONG = 3
+STRONG_SHORTEST = 4
+PLACEHOLDER = re.compile(
+    r"<[^>]*>|\$\{[^}]*\}|\$\([^)]*\)|(?-i:\$[A-Z_]+)|\{\{.*\}\}|\{[a-z_]*\}|%\(\w+\)s|(?-i:%[A-Z_]+%)|(.)\1*"
+    r"|(?:your|my|the|some|enter)[-_ ](?:\w+[-_ ])?(?:password|passwd|pwd|passphrase|secret|credentials?|api[-_ ]?key|key|token)(?:[-_ ]here)?"
+    r"|change[-_ ]?me|redacted|placeholder|todo|tbd|none|null|undefined|true|false",
+    re.I,
+)
 
 
 def _name_weight(name: str) -> int:
     return sum(SENSITIVE.get(p.lower(), 0) for p in dict.fromkeys(PART.findall(name)))
 
 
-def _randomness(value: str) -> float:
-    """Bits of a character, from the value's own frequencies; 0 for what holds no digit or only one kind of character."""
+def _randomness(value: str, quoted: bool) -> float:
+    """Bits of a character, from the value's own frequencies; 0 for what holds only one kind of character, and for bare
+    words without a digit."""
     kinds = sum((any(c.isdigit() for c in value), any(c.islower() for c in value), any(c.isupper() for c in value), not value.isalnum()))
-    if kinds < 2 or not any(c.isdigit() for c in value):
+    if kinds < 2 or not (quoted or any(c.isdigit() for c in value)):
         return 0.0
     n = len(value)
     return -sum(k / n * math.log2(k / n) for k in Counter(value).values())
@@ -94,9 +104,14 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
     more: set[tuple[str, int, int]] = set()
     for name, value, start, end in lexed(text):
         weight = _name_weight(name)
-        if not weight or len(value) < SHORTEST or any(a <= start and end <= b for _, a, b in base):
+        quoted = text[start - 1 : start] in ("'", '"')
+        strong = quoted and weight >= STRONG
+        if not weight or len(value) < (STRONG_SHORTEST if strong else SHORTEST) or any(a <= start and end <= b for _, a, b in base):
             continue
-        if weight + _randomness(value) >= THRESHOLD + (weight < 2):
+        least = THRESHOLD + (weight < 2)
+        if len(value) >= SHORTEST and weight + _randomness(value, False) >= least:
+            more.add(("named", start, end))
+        elif quoted and (strong or weight + _randomness(value, True) >= least) and not PLACEHOLDER.fullmatch(value.strip()):
             more.add(("named", start, end))
     return base, sorted([*base, *more], key=lambda s: (s[1], order[s[0]], s[2]))
 

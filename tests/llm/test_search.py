@@ -115,6 +115,11 @@ def test_assignments_are_lexed():
     assert [joined[a:b] for k, a, b in secret_scan.spans(joined)[1]] == ['aB3x9" + "Kq7Zr2']
 
 
+def test_literals_of_letters_only():
+    text = "db.pwd = 'CorrectHorseBattery!'\npassphrase: \"horse\"\nsigning_key => 'plainletters'\nauth = 'QwErTyUiOpAs'\npwd = '<your pwd>'\ncredential = \"${CREDENTIAL}\"\npwd = '********'\nauth: Authentication\n"
+    assert [text[a:b] for k, a, b in secret_scan.spans(text)[1]] == ["CorrectHorseBattery!", "horse", "plainletters", "QwErTyUiOpAs"]
+
+
 def test_scan_and_redact(spark):
     texts = [(1, "password=hunter22 and more"), (1, "password=hunter22 and more"), (2, None), (3, ""), (None, "x"), (4, "word " * 50_000 + "token: abcdef0")]
     docs = documents(spark, texts).withColumn("spans", F.lit(1))
