@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import Query, ready
-from . import decontamination, html_text, language_id, masked_lm, maxscore, mixing, near_duplicates, secret_scan, toxicity, warc_archive
+from . import decontamination, html_text, language_id, masked_lm, maxscore, mixing, near_duplicates, secret_scan, spelling_variants, toxicity, warc_archive
 from .batches import remainder, table
 
 QUERIES: dict[str, Query] = {}
@@ -84,6 +84,11 @@ def op10_near_duplicates(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.groups(table(spark, root, "documents"), size=3, percent=85)
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, root, "documents"), shortest=5, least=3, times=2, every=97)
+
+
 # --- SQL -----------------------------------------------------------------------------------------------------
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -145,3 +150,42 @@ m AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reac
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
 FROM d JOIN m USING (r) LEFT JOIN n USING (r)
 """
+
+# crc32 by its table of 256 entries; near words by what is left of them without one code point
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE e AS (
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)
+), crc AS (SELECT list(c ORDER BY i) AS t FROM e),
+r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL
+), u AS (
+  SELECT run, n, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END
+    FOR c IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, '')]) AS bytes
+  FROM r
+), h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, [b::BIGINT FOR b IN bytes]), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM u, crc
+), w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), d AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM w)
+), p AS (
+  SELECT a.word, b.word AS other FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, w.word FROM d JOIN w ON d.rest = w.word
+  UNION SELECT w.word, d.word FROM d JOIN w ON d.rest = w.word
+), best AS (
+  SELECT p.word, count(*) AS n_near, first(w.word ORDER BY w.n DESC, w.word COLLATE "C") AS form, max(w.n) AS form_n
+  FROM p JOIN w ON w.word = p.other GROUP BY p.word
+), f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM w LEFT JOIN best USING (word)
+), up AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT up.word, up.next, f.form FROM up JOIN f ON f.word = up.next
+)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up ON up.word = f.word AND up.next IS NULL
+"""
