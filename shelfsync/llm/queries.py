@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.base import Query, ready
-from . import decontamination, html_text, language_id, masked_lm, maxscore, mixing, near_duplicates, secret_scan, spelling_variants, toxicity, warc_archive
+from . import decontamination, hard_negatives, html_text, language_id, masked_lm, maxscore, mixing, near_duplicates, ngram_join, secret_scan, spelling_variants, toxicity, warc_archive
 from .batches import remainder, table
 
 QUERIES: dict[str, Query] = {}
@@ -84,6 +84,18 @@ def op10_near_duplicates(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.groups(table(spark, root, "documents"), size=3, percent=85)
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(table(spark, root, "embeddings").withColumn("label", moved), scale=256.0)
+    return hard_negatives.mine(rows, rows.filter("vec_id % 100 = 0"), n_positives=5, n_negatives=5, low=80, high=100)
+
+
+@query
+def op12_ngram_join(spark: SparkSession, root: str) -> DataFrame:
+    return ngram_join.joined(table(spark, root, "documents"), size=5, percent=80)
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     return spelling_variants.variants(table(spark, root, "documents"), shortest=5, least=3, times=2, every=97)
@@ -151,6 +163,45 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id IS N
 FROM d JOIN m USING (r) LEFT JOIN n USING (r)
 """
 
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256.0 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS t
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, list_sum([p[1] * p[2] FOR p IN list_zip(a.t, c.t)])::BIGINT AS score
+  FROM v a, v c WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+  SELECT a, c AS p, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5
+)
+SELECT p.a AS anchor_id, p.p AS positive_id, row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.c)::INTEGER AS rank,
+  s.c AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+ORACLES["op12_ngram_join"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS s
+  FROM d
+), g AS (SELECT r, unnest(s) AS s FROM sets),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, s.b FROM reach JOIN s ON reach.b = s.a),
+m AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a),
+same AS (SELECT s, count(*) AS n_same FROM sets WHERE len(s) > 0 GROUP BY s)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_same, 0)::BIGINT AS n_same
+FROM sets JOIN m USING (r) LEFT JOIN n USING (r) LEFT JOIN same USING (s)
+"""
+
 # crc32 by its table of 256 entries; near words by what is left of them without one code point
 ORACLES["op13_spelling_variants"] = rf"""
 WITH RECURSIVE e AS (
