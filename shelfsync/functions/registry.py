@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import logic, numbers, rtf, text
 
@@ -18,20 +18,52 @@ def pipe(c: Column, *steps: Step) -> Column:
     return reduce(lambda value, step: step(value), steps, c)
 
 
-def guarded(fn: Callable[[str], str]) -> Step:
-    """A Python function as an Arrow-batched step; a value it fails on stays as it is."""
+#: Characters of an error's message that are kept.
+MESSAGE = 200
 
-    def one(value: str):
-        try:
-            return fn(value)
-        except Exception:
-            return value
 
-    @F.pandas_udf(T.StringType())
-    def batch(values: pd.Series) -> pd.Series:
-        return values.map(one, na_action="ignore")
+class Guarded:
+    """A Python function as an Arrow-batched step. A value it fails on stays as it is, and the error is known.
 
-    return lambda c: batch(c)
+    As a step it gives the value; ``outcome`` gives a struct of value and error (null where there is none).
+    """
+
+    def __init__(self, fn: Callable[[str], str], name: str | None = None):
+        self.name = name or getattr(fn, "__name__", "function")
+
+        def one(value: str | None) -> tuple[str | None, str | None]:
+            if value is None:
+                return None, None
+            try:
+                return fn(value), None
+            except Exception as error:
+                return value, f"{type(error).__name__}: {error}"[:MESSAGE]
+
+        @F.pandas_udf("value string, error string")
+        def batch(values: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([one(v) for v in values], columns=["value", "error"], dtype=object)
+
+        self.outcome: Step = lambda c: batch(c)
+
+    def __call__(self, c: Column) -> Column:
+        return self.outcome(c)["value"]
+
+
+def guarded(fn: Callable[[str], str], name: str | None = None) -> Guarded:
+    return Guarded(fn, name)
+
+
+def error_log(df: DataFrame, calls: Sequence[tuple[Guarded, Column]]) -> DataFrame:
+    """What the functions of some calls fail on: function, message, times, and the smallest value as an example.
+
+    One pass over the rows; errors are summed by function and message with map-side combine.
+    """
+    found = [
+        F.struct(F.lit(step.name).alias("function"), step.outcome(c)["error"].alias("message"), c.cast("string").alias("value"))
+        for step, c in calls
+    ]
+    rows = df.select(F.explode(F.array(*found)).alias("e")).select("e.*").where("message IS NOT NULL")
+    return rows.groupBy("function", "message").agg(F.count("*").alias("times"), F.min("value").alias("example"))
 
 
 class Registry:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -42,7 +43,8 @@ def _accent_table() -> tuple[str, str]:
 
 MARKED_LETTERS, PLAIN_LETTERS = _accent_table()
 # Marks that follow their letter as characters of their own.
-_LOOSE_MARKS = "[\u0300-\u036f]"
+_LOOSE_MARKS = "".join(map(chr, range(0x300, 0x370)))
+_RARE = "[" + "".join(WHOLE_LETTERS) + "]"
 
 
 def trim(c: Column) -> Column:
@@ -77,20 +79,38 @@ def normalize_title(c: Column) -> Column:
     return F.coalesce(basename(trim(c)), F.lit(""))
 
 
-def _plain_letters(c: Column, drop_accents: bool) -> Column:
-    """Lower case with umlauts spelled out; text that is all ASCII skips the replacements."""
-    low = F.lower(F.coalesce(c, F.lit("")))
-    spelled = low
-    for letter, spelling in UMLAUTS.items():
-        spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
-    if drop_accents:
-        spelled = F.regexp_replace(F.translate(spelled, MARKED_LETTERS, PLAIN_LETTERS), _LOOSE_MARKS, "")
-        other = spelled
+def _bound(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that it uses more than once, computed once."""
+    return F.get(F.transform(F.array(c), fn), F.lit(0))
+
+
+def _all_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
+
+
+def _without_marks(spelled: Column) -> Column:
+    """Letters without their marks. Rare letters get their spelling, in texts that have any."""
+
+    def rare(plain: Column) -> Column:
+        other = plain
         for letter, spelling in WHOLE_LETTERS.items():
             other = F.replace(other, F.lit(letter), F.lit(spelling))
-        # rare letters: one test, not a replacement each, for texts that have none
-        spelled = F.when(F.translate(spelled, "".join(WHOLE_LETTERS), "") != spelled, other).otherwise(spelled)
-    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(spelled)
+        return F.when(plain.rlike(_RARE), other).otherwise(plain)
+
+    # marks of their own have no counterpart and go
+    return _bound(F.translate(spelled, MARKED_LETTERS + _LOOSE_MARKS, PLAIN_LETTERS), lambda plain: F.when(_all_ascii(plain), plain).otherwise(rare(plain)))
+
+
+def _plain_letters(c: Column, drop_accents: bool) -> Column:
+    """Lower case with umlauts spelled out. Text that is all ASCII skips the replacements, before them or after the umlauts."""
+
+    def spelled(low: Column) -> Column:
+        out = low
+        for letter, spelling in UMLAUTS.items():
+            out = F.replace(out, F.lit(letter), F.lit(spelling))
+        return _bound(out, lambda x: F.when(_all_ascii(x), x).otherwise(_without_marks(x))) if drop_accents else out
+
+    return _bound(F.lower(F.coalesce(c, F.lit(""))), lambda low: F.when(_all_ascii(low), low).otherwise(spelled(low)))
 
 
 def _squeeze(c: Column, separator: str) -> Column:

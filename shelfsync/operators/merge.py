@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordering import assign_ids, first_wins, last_wins
+from .rejects import accepted
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -26,8 +27,8 @@ def upsert(
     """Insert new keys; on known keys overwrite only the columns the changes have.
 
     An explicit null overwrites, a column missing from the changes keeps its value. Of changes with one
-    key the last in ``order`` counts, else the last in the order of their columns. A value that does not fit its column becomes
-    null. The default is one full outer join. With ``small_changes`` the
+    key the last in ``order`` counts, else the last in the order of their columns. A change with a value that does not fit its
+    column is left out, so it never overwrites; ``rejects.rejects`` lists such values. The default is one full outer join. With ``small_changes`` the
     target is scanned twice but, as long as Spark can broadcast the changes, never shuffled.
     """
     _need_keys(keys)
@@ -35,17 +36,16 @@ def upsert(
     unknown = set(changes.columns) - set(target.columns) - set(helpers)
     if unknown:
         raise ValueError(f"columns not in the target: {sorted(unknown)}")
-    changes = last_wins(changes, keys, order).drop(*helpers)
+    changes = last_wins(accepted(changes, target), keys, order).drop(*helpers)
     new = changes.withColumn("__hit", F.lit(True)).alias("new")
     old = target.alias("old")
     on = same_keys("old", "new", keys)
 
     def merged(column: str) -> Column:
-        kind = target.schema[column].dataType
         if column in keys:
-            value = F.coalesce(F.col(f"old.{column}"), F.col(f"new.{column}").try_cast(kind))
+            value = F.coalesce(F.col(f"old.{column}"), F.col(f"new.{column}"))
         elif column in changes.columns:
-            value = F.when(F.col("new.__hit"), F.col(f"new.{column}").try_cast(kind)).otherwise(F.col(f"old.{column}"))
+            value = F.when(F.col("new.__hit"), F.col(f"new.{column}")).otherwise(F.col(f"old.{column}"))
         else:
             value = F.col(f"old.{column}")
         return value.alias(column)
@@ -55,8 +55,7 @@ def upsert(
     patched = old.join(new, on, "left").select(*[merged(c) for c in target.columns])
     known = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi")
     added = changes.join(known, list(keys), "left_anti")
-    typed = added.select(*[F.col(c).try_cast(target.schema[c].dataType).alias(c) for c in added.columns])
-    return patched.unionByName(typed, allowMissingColumns=True).select(*target.columns)
+    return patched.unionByName(added, allowMissingColumns=True).select(*target.columns)
 
 
 def replace_merge(
@@ -66,9 +65,10 @@ def replace_merge(
     """Rows with a staged key are replaced as a whole: columns not staged become null.
 
     The last staged row per key wins, in ``order`` or else in the order of the columns. With ``id_column`` replaced and new rows
-    get fresh ids above ``max_id``, in the same order.
+    get fresh ids above ``max_id``, in the same order. A staged row with a value that does not fit its column is left out, and
+    the row it would have replaced stays.
     """
-    staged = staging.select(*[F.col(c).try_cast(target.schema[c].dataType).alias(c) for c in staging.columns])
+    staged = accepted(staging, target)
     if not keys:
         return target.unionByName(staged, allowMissingColumns=True)
     staged = last_wins(staged, keys, order)

@@ -7,7 +7,8 @@ and numbering work on blocks of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -83,6 +84,34 @@ def global_number(df: DataFrame, order: Sequence[str], into: str, start: int = 1
     )
 
 
+def number_narrow(df: DataFrame, order: Sequence[str], into: str, start: int = 1) -> DataFrame:
+    """Numbers as ``global_number`` gives them, for wide rows: only the order columns are sorted and checkpointed.
+
+    Distinct values of the order columns are numbered, as many numbers apart as there are rows with them; the rows
+    then look theirs up. Rows that are equal in the order get consecutive numbers in the order of their columns.
+    """
+    columns = [c.split()[0] for c in order]
+    sizes = df.groupBy(*columns).agg(F.count("*").alias("__rows"))
+    fixed = sizes.orderBy(*sort_columns(order)).checkpoint()
+    part = F.shiftright(F.monotonically_increasing_id(), 33)
+    fixed = fixed.withColumn("__part", part)
+    totals = fixed.groupBy("__part").agg(F.sum("__rows").alias("__total"))
+    # one row per partition of the sort
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("__part", F.coalesce(F.sum("__total").over(ahead), F.lit(0)).alias("__ahead"))
+    inside = Window.partitionBy("__part").orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, -1)
+    first = fixed.withColumn("__inside", F.coalesce(F.sum("__rows").over(inside), F.lit(0))).join(F.broadcast(starts), "__part")
+    first = first.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(columns)], "__rows", (F.col("__ahead") + F.col("__inside") + F.lit(start)).alias("__first"))
+    on = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(columns)])
+    met = df.join(first, on)
+    single = met.where("__rows = 1").withColumn("__place", F.lit(0))
+    several = global_number(met.where("__rows > 1"), ["__first", *total_order(df, df.columns)], "__number")
+    heads = several.groupBy(F.col("__first").alias("__of")).agg(F.min("__number").alias("__head"))
+    several = several.join(heads, F.col("__first") == F.col("__of")).withColumn("__place", F.col("__number") - F.col("__head"))
+    found = (F.col("__first") + F.col("__place")).cast("bigint").alias(into)
+    return single.select(*df.columns, found).unionByName(several.select(*df.columns, found))
+
+
 def assign_ids(df: DataFrame, order: Sequence[str], max_id: int = 0, into: str = "id") -> DataFrame:
     """Surrogate ids above ``max_id`` in insertion order."""
     return global_number(df.drop(into), order, into, max_id + 1)
@@ -190,6 +219,38 @@ def fold_duplicates(
     )
 
 
+def neighbour_steps(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], changed: Callable[[str, str], Column]
+) -> DataFrame:
+    """Per key: taken (rows), moved (rows that differ from the one before them) and head (the fields of the first row).
+
+    ``changed`` tests two structs of the fields, given by name. Rows of keys that occur more than once are sorted over all
+    tasks, so a hot key falls into many ranges; neighbours are compared within a range, then the ends of the ranges with
+    each other, one row for each key and range.
+    """
+    df = df.select(*df.columns, F.struct(*[F.col(c) for c in fields or keys]).alias("__row"))
+    often = df.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*keys)
+    none = F.lit(0).cast("bigint")
+    single = df.join(often, list(keys), "left_anti")
+    single = single.select(*keys, (none + 1).alias("taken"), none.alias("moved"), F.col("__row").alias("head"))
+    many = df.join(often, list(keys), "left_semi").orderBy(*keys, *sort_columns(order)).checkpoint()
+    many = many.withColumn("__part", F.shiftright(F.monotonically_increasing_id(), 33))
+    inside = Window.partitionBy("__part", *keys).orderBy(*sort_columns(order))
+    many = many.withColumn("__before", F.lag("__row").over(inside)).withColumn("__after", F.lead("__row").over(inside))
+    ranges = many.groupBy("__part", *keys).agg(
+        F.count("*").alias("taken"),
+        F.count_if(F.col("__before").isNotNull() & changed("__row", "__before")).alias("moved"),
+        F.first(F.when(F.col("__before").isNull(), F.col("__row")), ignorenulls=True).alias("head"),
+        F.first(F.when(F.col("__after").isNull(), F.col("__row")), ignorenulls=True).alias("tail"),
+    )
+    ranges = ranges.withColumn("__before", F.lag("tail").over(Window.partitionBy(*keys).orderBy("__part")))
+    step = F.when(F.col("__before").isNotNull() & changed("head", "__before"), 1).otherwise(0)
+    joined = ranges.groupBy(*keys).agg(
+        F.sum("taken").alias("taken"), F.sum(F.col("moved") + step).alias("moved"), F.min_by("head", "__part").alias("head")
+    )
+    return single.unionByName(joined)
+
+
 def total_order(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Those of the columns that can be sorted by; they make an order where none is declared."""
     return [c for c in columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]

@@ -360,3 +360,23 @@ def udf_registry(spark, d):
         names.apply("nowhere", F.col("p_name")).alias("unknown_name"),
         names.apply("shout", F.col("p_type")).alias("guarded"),
     )
+
+
+@query("udf_errors", """
+SELECT 'shout' AS "function", 'ValueError: PROMO' AS message, count(*) AS times, min(p_type) AS example FROM part WHERE p_type = 'PROMO' HAVING count(*) > 0
+UNION ALL SELECT 'halve', 'ArithmeticError: odd', count(*), min(CAST(p_size AS VARCHAR)) FROM part WHERE p_size % 2 = 1 HAVING count(*) > 0""")
+def udf_errors(spark, d):
+    """What registered functions fail on, by function and message."""
+
+    def shout(value: str) -> str:
+        if value == "PROMO":
+            raise ValueError(value)
+        return value.lower()
+
+    def halve(value: str) -> str:
+        if int(value) % 2:
+            raise ArithmeticError("odd")
+        return str(int(value) // 2)
+
+    calls = [(registry.guarded(shout), F.col("p_type")), (registry.guarded(halve), F.col("p_size").cast("string"))]
+    return registry.error_log(table(spark, d, "part"), calls)

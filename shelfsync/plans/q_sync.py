@@ -116,9 +116,15 @@ def flags(spark, d):
     )
 
 
+def _customers_of_large_orders(spark, d):
+    """All orders; the customers of small or open ones have keys that no table knows."""
+    large = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000)
+    return table(spark, d, "orders").withColumn("id", F.when(large, F.col("o_custkey")).otherwise(F.col("o_custkey") + 100000000))
+
+
 @query("orphans", """
 WITH o AS (SELECT c_custkey AS id, c_mktsegment AS segment, CAST(CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS INTEGER) AS status FROM customer),
-s AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000)
+s AS (SELECT DISTINCT CASE WHEN o_orderstatus = 'F' AND o_totalprice > 250000 THEN o_custkey ELSE o_custkey + 100000000 END AS o_custkey FROM orders)
 SELECT id, segment, CAST(CASE WHEN gone THEN 0 ELSE status END AS INTEGER) AS status, gone AS orphaned
 FROM (SELECT *, status <> 0 AND segment <> 'MACHINERY' AND id NOT IN (SELECT o_custkey FROM s) AS gone FROM o)""")
 def orphans(spark, d):
@@ -126,7 +132,7 @@ def orphans(spark, d):
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"),
         F.when(F.col("c_acctbal") > 5000, 1).otherwise(0).alias("status"),
     )
-    seen = table(spark, d, "orders").where("o_orderstatus = 'F' and o_totalprice > 250000").select(F.col("o_custkey").alias("id"))
+    seen = _customers_of_large_orders(spark, d).select("id")
     policy = OrphanPolicy(("id",), {"status": 0}, scope=F.col("segment") != "MACHINERY")
     return orphan_update(target, seen, [policy])
 
@@ -155,8 +161,8 @@ def delta_export(spark, d):
 
 @query("sync_duplicates", f"""
 WITH n AS (SELECT o_custkey AS customer, o_orderstatus AS state, o_orderpriority AS priority, o_orderkey FROM orders),
-o AS (SELECT c_custkey AS customer, CASE WHEN c_acctbal > 3000 THEN 'F' ELSE 'O' END AS state, c_mktsegment AS priority,
-             CAST(1 AS INTEGER) AS change, 'before' AS updated_at FROM customer WHERE c_mktsegment <> 'BUILDING'),
+o AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey + 100000000 ELSE c_custkey END AS customer, CASE WHEN c_acctbal > 3000 THEN 'F' ELSE 'O' END AS state,
+             c_mktsegment AS priority, CAST(1 AS INTEGER) AS change, 'before' AS updated_at FROM customer),
 m AS (SELECT *, lag(state) OVER w AS before, first(state) OVER w AS head, row_number() OVER (PARTITION BY customer ORDER BY o_orderkey DESC) AS r, count(*) OVER (PARTITION BY customer) AS k
       FROM n WINDOW w AS (PARTITION BY customer ORDER BY o_orderkey)),
 l AS (SELECT *, coalesce(bool_or(before <> state) OVER (PARTITION BY customer), false) AS moved FROM m),
@@ -170,8 +176,9 @@ SELECT customer, CASE WHEN is_new THEN new_state ELSE old_state END AS state, CA
        CAST(CASE action WHEN 'kept' THEN old_change WHEN 'unchanged' THEN 0 ELSE 1 END AS INTEGER) AS change, action,
        CASE WHEN NOT is_new THEN old_at WHEN NOT is_old OR moved OR head <> old_state THEN '{NOW}' ELSE old_at END AS updated_at FROM a""")
 def sync_duplicates(spark, d):
-    target = table(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(
-        F.col("c_custkey").alias("customer"), F.when(F.col("c_acctbal") > 3000, "F").otherwise("O").alias("state"),
+    key = F.col("c_custkey")
+    target = table(spark, d, "customer").select(
+        F.when(F.col("c_mktsegment") == "BUILDING", key + 100000000).otherwise(key).alias("customer"), F.when(F.col("c_acctbal") > 3000, "F").otherwise("O").alias("state"),
         F.col("c_mktsegment").alias("priority"), F.lit(1).alias("change"), F.lit("before").alias("updated_at"),
     )
     spec = sync.EntitySpec(
@@ -186,11 +193,13 @@ def sync_duplicates(spark, d):
 WITH r AS (SELECT o_custkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders)
 SELECT coalesce(c_custkey, o_custkey) AS id, CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE o_orderstatus END AS state,
        CASE WHEN o_custkey IS NULL THEN c_acctbal ELSE o_totalprice END AS amount, c_name AS name
-FROM (SELECT * FROM customer WHERE c_custkey % 3 <> 0) FULL JOIN (SELECT * FROM r WHERE n = 1) ON c_custkey = o_custkey""")
+FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 100000000 ELSE c_custkey END AS c_custkey, c_mktsegment, c_acctbal, c_name FROM customer)
+FULL JOIN (SELECT * FROM r WHERE n = 1) ON c_custkey = o_custkey""")
 def upsert_repeated(spark, d):
     """Changes in which most keys occur many times."""
-    target = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(
-        F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("amount"), F.col("c_name").alias("name"),
+    key = F.col("c_custkey")
+    target = table(spark, d, "customer").select(
+        F.when(key % 3 == 0, key + 100000000).otherwise(key).alias("id"), F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("amount"), F.col("c_name").alias("name"),
     )
     changes = table(spark, d, "orders").select(
         F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("state"), F.col("o_totalprice").alias("amount"), "o_orderdate", "o_orderkey"
@@ -199,10 +208,11 @@ def upsert_repeated(spark, d):
 
 
 @query("orphans_many", """
-WITH r AS (SELECT o_custkey, o_orderpriority AS priority, lag(o_orderpriority) OVER w AS before, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n
-           FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+WITH q AS (SELECT CASE WHEN o_orderstatus = 'F' AND o_totalprice > 250000 THEN o_custkey ELSE o_custkey + 100000000 END AS o_custkey, o_orderkey, o_orderpriority FROM orders),
+r AS (SELECT o_custkey, o_orderpriority AS priority, lag(o_orderpriority) OVER w AS before, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n
+           FROM q WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
 s AS (SELECT o_custkey, priority, before FROM r WHERE n = 1),
-p AS (SELECT DISTINCT o_orderpriority AS priority FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000),
+p AS (SELECT DISTINCT o_orderpriority AS priority FROM orders),
 t AS (SELECT c_custkey AS id, CASE WHEN c_nationkey % 2 = 0 THEN '1-URGENT' ELSE 'none' || c_nationkey END AS priority, CAST(1 AS INTEGER) AS status, CAST(1 AS INTEGER) AS web FROM customer),
 j AS (SELECT coalesce(t.id, s.o_custkey) AS id, coalesce(s.priority, t.priority) AS priority, t.status, t.web, s.o_custkey IS NOT NULL AS seen, t.id IS NOT NULL AS known,
              s.before IS NOT NULL AS again, s.priority <> coalesce(s.before, t.priority) AS differs FROM t FULL JOIN s ON t.id = s.o_custkey)
@@ -218,13 +228,13 @@ def orphans_many(spark, d):
     )
     spec = sync.EntitySpec(
         name="customer", source="orders", target="customer", keys=("id",), delta=("priority",), order=("o_orderkey",),
-        columns={"id": F.col("o_custkey"), "priority": F.col("o_orderpriority")},
+        columns={"id": F.col("id"), "priority": F.col("o_orderpriority")},
         orphans=(OrphanPolicy(("id",), {"status": 0}), OrphanPolicy(("priority",), {"web": 0})),
     )
-    return sync.classify_entity(spec, table(spark, d, "orders").where("o_orderstatus = 'F' and o_totalprice > 250000"), target)
+    return sync.classify_entity(spec, _customers_of_large_orders(spark, d), target)
 
 
-_LINES_SQL = """
+LINES_SQL = """
 WITH n AS (SELECT l_orderkey || '-' || l_linenumber AS line, l_partkey AS part, round(l_extendedprice * (1 - l_discount) + 0.00003, 2) AS price, CAST(l_quantity AS BIGINT) AS amount,
                   row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_discount) AS r,
                   count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS k FROM lineitem),
@@ -244,9 +254,8 @@ SELECT line, CASE WHEN is_new THEN np ELSE op END AS part, CASE WHEN is_new THEN
 FROM j"""
 
 
-@query("sync_lineitem", _LINES_SQL)
-def sync_lineitem(spark, d):
-    """The article sync at the size of lineitem: repeated keys, new, changed and gone rows."""
+def line_run(spark, d):
+    """Spec, source and stored table of a run over lineitem: repeated keys, new, changed and gone rows."""
     lines, c = table(spark, d, "lineitem"), F.col
     key = F.concat_ws("-", c("l_orderkey"), c("l_linenumber"))
     price = lambda v: F.round(v + 0.00003, 2)
@@ -265,7 +274,13 @@ def sync_lineitem(spark, d):
         columns={"line": key, "part": c("l_partkey"), "price": price(net), "amount": c("l_quantity").cast("bigint"), "status": 1},
         orphans=(OrphanPolicy(("line",), {"status": 0}),),
     )
-    return sync.classify_entity(spec, lines, current.unionByName(gone))
+    return spec, lines, current.unionByName(gone)
+
+
+@query("sync_lineitem", LINES_SQL)
+def sync_lineitem(spark, d):
+    """The article sync at the size of lineitem."""
+    return sync.classify_entity(*line_run(spark, d))
 
 
 def _tree_sql(path: str) -> str:
@@ -350,7 +365,25 @@ def unique_slugs(spark, d):
     return slugs.unique_slugs(rows, taken, ["p_partkey"])
 
 
-@query("slug_collisions")
+# row by row: the working table holds the last row of each status, the keyed table all slugs given so far
+@query("slug_collisions", """
+WITH RECURSIVE r AS (
+  SELECT o_orderkey, lower(o_orderstatus) AS family, lower(o_orderstatus) || CASE WHEN o_totalprice > 250000 THEN '-' || (o_custkey % 100) ELSE '' END AS base,
+         row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders
+), taken AS (SELECT 'f-' || (c_custkey * 3) AS slug FROM customer),
+given(seo_slug, o_orderkey, family, base, slot, k) USING KEY (seo_slug) AS (
+  SELECT '*' || family, CAST(NULL AS BIGINT), family, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), CAST(0 AS BIGINT) FROM (SELECT DISTINCT family FROM r)
+  UNION
+  SELECT slug, o_orderkey, family, base, slot, k FROM (
+    SELECT r.o_orderkey, r.family, r.base, r.k, c.slot, CASE WHEN c.slot = 0 THEN r.base ELSE r.base || '-' || c.slot END AS slug,
+           row_number() OVER (PARTITION BY r.family ORDER BY c.slot) AS n
+    FROM given g JOIN r ON r.family = g.family AND r.k = g.k + 1
+      LEFT JOIN (SELECT base, max(slot) AS top FROM recurring.given WHERE base IS NOT NULL GROUP BY base) m ON m.base = r.base,
+      LATERAL (SELECT unnest(range(coalesce(m.top, -1) + 1, coalesce(m.top, -1) + 402)) AS slot) c
+    WHERE CASE WHEN c.slot = 0 THEN r.base ELSE r.base || '-' || c.slot END NOT IN (SELECT slug FROM taken)
+      AND CASE WHEN c.slot = 0 THEN r.base ELSE r.base || '-' || c.slot END NOT IN (SELECT seo_slug FROM recurring.given)) WHERE n = 1
+)
+SELECT o_orderkey, seo_slug FROM given WHERE o_orderkey IS NOT NULL""")
 def slug_collisions(spark, d):
     """Names that end in numbers of their own, so that bases and numbered slugs meet."""
     orders = table(spark, d, "orders")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import q_export, q_files, q_functions, q_log, q_sync, q_tables
+from . import q_commits, q_export, q_files, q_functions, q_log, q_staging, q_sync, q_tables
 from .base import ORACLES, QUERIES, Query
 
-__all__ = ["q_export", "q_files", "q_functions", "q_log", "q_sync", "q_tables", "queries", "oracles"]
+__all__ = ["q_commits", "q_export", "q_files", "q_functions", "q_log", "q_staging", "q_sync", "q_tables", "queries", "oracles"]
 
 
 def queries() -> dict[str, Query]:

@@ -27,7 +27,7 @@ from ..functions.rtf import rtf_to_html
 from ..functions.text import basename, meta_default, null_if_empty, trim
 from ..operators.lookups import article_slug, resolve_fk
 from ..operators.mapping import fill_file_name
-from ..operators.ordering import first_wins, global_number
+from ..operators.ordering import first_wins, number_narrow
 from ..operators.orphans import OrphanPolicy
 from ..operators.schema import Field, TargetTable
 from ..operators.sync import EntitySpec
@@ -90,8 +90,7 @@ ATTRIBUTE_COLUMNS = {1: ("Zusatzfeld03", "Zusatzfeld15"), 2: ("Zusatzfeld04", "Z
 
 def article_run_order(articles: DataFrame) -> DataFrame:
     """Article source with its run order: masters and single articles before variants."""
-    ranked = articles.withColumn("__rank", master_first(F.col("Zusatzfeld07")))
-    return global_number(ranked, ["__rank", "Artikelnummer"], "ordinal").drop("__rank")
+    return number_narrow(articles.withColumn("__rank", master_first(F.col("Zusatzfeld07"))), ["__rank", "Artikelnummer"], "ordinal").drop("__rank")
 
 
 def _article_links(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numbers import iso_time
@@ -77,10 +82,60 @@ def _record_files(spark: SparkSession, base: str, spec: FolderTable) -> DataFram
     )
 
 
+def subfolders(path: str, size: int = 10_000) -> Iterator[list[str]]:
+    """Names of the folders directly below one, in lists of at most ``size``. A local listing is read as it goes on."""
+    if path.startswith("/") or path.startswith("file:"):
+        with os.scandir("/" + path.removeprefix("file:").lstrip("/")) as entries:
+            names = (e.name for e in entries if e.is_dir())
+            while part := list(islice(names, size)):
+                yield part
+        return
+    system, at = fs.FileSystem.from_uri(path)
+    found = [f.base_name for f in system.get_file_info(fs.FileSelector(at)) if f.type == fs.FileType.Directory]
+    yield from (found[i : i + size] for i in range(0, len(found), size))
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for above, path in zip(*(c.to_pylist() for c in batch.columns)):
+            for names in subfolders(path):
+                paths = [f"{path}/{n}" for n in names]
+                inner = [f"{above}/{n}" if above else n for n in names]
+                yield pa.RecordBatch.from_arrays([pa.array(inner, pa.string()), pa.array(paths, pa.string())], names=["folder", "path"])
+
+
+def list_folders(spark: SparkSession, base: str, depth: int = 1) -> DataFrame:
+    """All folders down to a depth, with and without files: folder (relative to ``base``), path and level.
+
+    Every level is listed by tasks, over which the folders found on the level before are spread; the names never pass
+    through the driver.
+    """
+    level = spark.createDataFrame([("", base.rstrip("/"))], "folder string, path string")
+    levels = []
+    for n in range(1, depth + 1):
+        level = level if n == 1 else level.repartition(F.col("path"))
+        level = level.mapInArrow(_listed, "folder string, path string")
+        levels.append(level.withColumn("level", F.lit(n)))
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _task_readable(base: str) -> bool:
+    """Whether tasks can list the folder themselves. Stores that only Spark's own readers know are listed by the driver."""
+    if base.startswith("/") or base.startswith("file:"):
+        return True
+    try:
+        fs.FileSystem.from_uri(base)
+    except (OSError, ValueError):
+        return False
+    return True
+
+
 def _record_folders(spark: SparkSession, base: str, spec: FolderTable) -> DataFrame:
-    """Names of the record folders, from the file system's listing: also those without files."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{spec.folder}/*")
+    """Names of the record folders: also those without files."""
+    root = f"{base.rstrip('/')}/{spec.folder}"
+    if _task_readable(root):
+        return list_folders(spark, root).select(F.col("folder").alias("record"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     names = [(s.getPath().getName(),) for s in found if s.isDirectory()]
     return spark.createDataFrame(names, "record string")
@@ -99,9 +154,8 @@ def _keys(rows: DataFrame, spec: FolderTable) -> tuple[DataFrame, list[Column]]:
 def scan_folder_table(spark: SparkSession, base: str, spec: FolderTable, empty_folders: bool = True) -> DataFrame:
     """One row per record folder; a missing file is null.
 
-    Spark's file source does not see folders without files. Their names come from one
-    directory listing on the driver, like the listing Spark itself makes; leave it out with
-    ``empty_folders=False`` where record folders always hold files.
+    Spark's file source does not see folders without files. Their names come from a listing in a
+    task; leave it out with ``empty_folders=False`` where record folders always hold files.
     """
     if not spec.keys:
         raise ValueError(f"folder table {spec.folder} needs at least one key")
