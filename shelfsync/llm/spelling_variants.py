@@ -150,43 +150,54 @@ def decomposed(word: str, longest: int, frequent: dict[str, int]) -> tuple[list[
     return grams, most
 
 
+def letters(word: str) -> int:
+    """Which letters (by 64 remainders of their code points) a word has an odd number of; one edit alters two bits at most."""
+    mask = 0
+    for c in word:
+        mask ^= 1 << (ord(c) & 63)
+    return mask - (mask >> 63 << 64)
+
+
 def postings(words: DataFrame, frequent: dict[int, dict[str, int]]) -> DataFrame:
-    """Rows of the gram lists: group, gram, at, side (0: the group's shorter words as left side, 1: right side), word, n.
+    """Rows of the gram lists: gram, at (group and place), side (0: the group's shorter words as left side, 1: right side), word, n, mask.
 
     Grams of near words stand at the same place, or after the edit one further in the longer word.
     """
     known = words.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["group", "gram", "at", "side", "word", "n"]
-        kinds = [pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
+        names = ["gram", "at", "side", "word", "n", "mask"]
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
         for batch in batches:
             for start in range(0, batch.num_rows, 5000):
                 part = batch.slice(start, 5000)
                 rows = []
                 for word, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    mask = letters(word)
                     for g in _groups(word):
                         frequent = known.value.get(g, {})
                         grams, most = decomposed(word, longest_gram(g), frequent)
                         grams.sort(key=lambda x: (frequent.get(x[1], 0), x[1]))
                         for p, gram in grams[: most + 1]:
+                            at = (g << 32) + p
                             if g == len(word):
-                                rows += [(g, gram, p, 0, word, n), (g, gram, p, 1, word, n)]
+                                rows += [(gram, at, 0, word, n, mask), (gram, at, 1, word, n, mask)]
                             else:
-                                rows += [(g, gram, p, 1, word, n), (g, gram, p - 1, 1, word, n)]
+                                rows += [(gram, at, 1, word, n, mask), (gram, at - 1, 1, word, n, mask)]
                 cols = list(zip(*rows)) if rows else [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    return words.select("word", "n").mapInArrow(run, "group int, gram string, at int, side int, word string, n long")
+    return words.select("word", "n").mapInArrow(run, "gram string, at long, side int, word string, n long, mask long")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """a, n_a, b, n_b: every two words at an edit distance of exactly one, once (a the shorter, or the smaller)."""
     lists = stored(postings(words, frequent_grams(words)), "postings")
-    left = lists.filter("side = 0").select("group", "gram", "at", F.col("word").alias("a"), F.col("n").alias("n_a"))
-    right = lists.filter("side = 1").select("group", "gram", "at", F.col("word").alias("b"), F.col("n").alias("n_b"))
-    near = "(length(b) > group OR a < b) AND levenshtein(a, b, 1) = 1"
-    return left.join(right, ["group", "gram", "at"]).filter(near).select("a", "n_a", "b", "n_b").distinct()
+    left = lists.filter("side = 0").select("gram", "at", F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("mask").alias("mask_a"))
+    right = lists.filter("side = 1").select("gram", "at", F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("mask").alias("mask_b"))
+    # the first test is cheap and leaves few pairs to the others
+    near = "bit_count(mask_a ^ mask_b) <= 2 AND (length(b) > length(a) OR a < b) AND levenshtein(a, b, 1) = 1"
+    return left.join(right, ["gram", "at"]).filter(near).select("a", "n_a", "b", "n_b").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
