@@ -137,8 +137,11 @@ def category_meta(
 
 
 def rebuild_links(links: DataFrame, articles: DataFrame, attributes: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Link rows with ids instead of names; unmatched links go, the first per pair stays."""
-    from .ordering import first_wins
+    """Link rows with ids instead of names; unmatched links go, the first per pair stays.
+
+    Where the order can be written as a minimum, rows are combined within tasks before anything is shuffled.
+    """
+    from .ordering import first_wins, order_key
 
     a = one_per_key(articles, F.col("model"), article_id=F.col("id"))
     t = one_per_key(attributes, F.col("name"), attribute_id=F.col("id"))
@@ -150,6 +153,11 @@ def rebuild_links(links: DataFrame, articles: DataFrame, attributes: DataFrame,
     )
     number = F.regexp_extract(F.col("status").cast("string"), r"^\s*([+-]?\d+)", 1).try_cast("bigint")
     status = F.when(F.col("status").isNull(), F.lit(1).cast("bigint")).otherwise(F.coalesce(number, F.lit(0)))
-    return first_wins(rows, ["article_id", "attribute_id"], order).select(
-        "article_id", "attribute_id", status.alias("status"), "value"
-    )
+    pair = ["article_id", "attribute_id"]
+    key = order_key(rows, order)
+    if key:
+        first = F.min(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(key)], "status", "value")).alias("first")
+        rows = rows.groupBy(*pair).agg(first).select(*pair, "first.status", "first.value")
+    else:
+        rows = first_wins(rows, pair, order)
+    return rows.select(*pair, status.alias("status"), "value")

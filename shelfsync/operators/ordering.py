@@ -184,6 +184,20 @@ def keep_latest(df: DataFrame, per: Sequence[str], order: Sequence[str], n: int,
     return rows.withColumn("__rank", F.row_number().over(whole)).where(F.col("__rank") <= n).drop("__rank")
 
 
+def order_key(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Columns whose smallest struct is the first row in the order; none if the order has a descending column that is no number."""
+    key: list[Column] = []
+    for entry in order:
+        name, _, direction = entry.strip().partition(" ")
+        if direction.strip().lower() != "desc":
+            key.append(F.col(name))
+        elif isinstance(df.schema[name].dataType, T.NumericType):
+            key += [F.col(name).isNull(), -F.col(name)]  # nulls come last
+        else:
+            return []
+    return key
+
+
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the earliest in the run."""
     return keep_latest(df, keys, order, 1)

@@ -9,6 +9,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 REJECTS = "entity string, row string, column string, value string, reason string"
 
 
+_WIDTH = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
+
+
+def fallible(old: T.DataType, new: T.DataType) -> bool:
+    """Whether a cast between two types can lose a filled value."""
+    if old == new or isinstance(old, T.NullType) or isinstance(new, T.StringType):
+        return False
+    if type(old) in _WIDTH:
+        return not (isinstance(new, (T.FloatType, T.DoubleType)) or _WIDTH.get(type(new), 0) >= _WIDTH[type(old)])
+    return not (isinstance(old, T.FloatType) and isinstance(new, T.DoubleType))
+
+
 def refused(kinds: Mapping[str, T.DataType]) -> Column:
     """The columns of a row whose filled value cannot be cast, as an array of column, value and reason."""
     found = [
@@ -25,7 +37,7 @@ def refused(kinds: Mapping[str, T.DataType]) -> Column:
 def misfits(rows: DataFrame, target: DataFrame) -> Column:
     """``refused`` for the columns of ``rows`` that have another type in the target."""
     kinds = {f.name: f.dataType for f in target.schema.fields if f.name in rows.columns}
-    return refused({c: k for c, k in kinds.items() if rows.schema[c].dataType != k})
+    return refused({c: k for c, k in kinds.items() if fallible(rows.schema[c].dataType, k)})
 
 
 def listed(rows: DataFrame, keys: Sequence[str], entity: str = "", column: str = "__rejects") -> DataFrame:

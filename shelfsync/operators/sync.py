@@ -20,7 +20,7 @@ from .mapping import as_column, has_keys
 from .merge import replace_merge
 from .ordering import assign_ids, first_wins, fold_duplicates, neighbour_steps, total_order
 from .orphans import OrphanPolicy
-from .rejects import listed, refused
+from .rejects import fallible, listed, refused
 from .slugs import unique_slugs
 
 ORPHAN, KEPT = "orphan", "kept"
@@ -85,6 +85,10 @@ class Watch:
     def __init__(self) -> None:
         self.source, self.kept = Observation(), Observation()
 
+    def fit(self) -> int:
+        """Rows that can be written."""
+        return self.kept.get["kept"] - self.kept.get["errors"]
+
     def stats(self) -> dict[str, int]:
         processed, kept = self.source.get["processed"], self.kept.get
         return {"processed": processed, "skipped": max(0, processed - kept["kept"]), "errors": kept["errors"]}
@@ -190,12 +194,13 @@ def typed(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataFrame:
     """
     kinds = {f.name: f.dataType for f in target.schema.fields if f.name in rows.columns and f.name != spec.slug}
     kinds = {c: k for c, k in kinds.items() if rows.schema[c].dataType != k}
-    spoilt = [F.col(c).isNotNull() & F.col(c).try_cast(k).isNull() for c, k in kinds.items()]
+    risky = {c: k for c, k in kinds.items() if fallible(rows.schema[c].dataType, k)}
+    spoilt = [F.col(c).isNotNull() & F.col(c).try_cast(k).isNull() for c, k in risky.items()]
     bad = reduce(or_, spoilt) if spoilt else F.lit(False)
     # a key that does not fit cannot be told apart from others and stays out altogether, but is counted
     return rows.where(has_keys(spec.keys)).select(
         *[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in rows.columns],
-        bad.alias("__bad"), F.when(bad, refused(kinds)).alias("__rejects"),
+        bad.alias("__bad"), F.when(bad, refused(risky)).alias("__rejects"),
     )
 
 
@@ -365,11 +370,11 @@ def run_entity(
             some = store.read(spec.target, touched)
             classified = _classify(spec, mapped, some, target, lambda: mapped)
             written = store.replace_buckets(spec.target, classified, touched, drop_on_read=["action"])
-            stats = sync_stats(written).first().asDict() | _by_source_row(spec, mapped, some, written)
+            stats = _counted(spec, mapped, some, written, watch)
         else:
             classified = _classify(spec, mapped, target, target, lambda: mapped)
             written = store.write(spec.target, classified, drop_on_read=["action"])
-            stats = sync_stats(written).first().asDict() | _by_source_row(spec, mapped, target, written)
+            stats = _counted(spec, mapped, target, written, watch)
         stats = {**watch.stats(), **stats}
         refused_rows = f"{spec.target}__rejects"
         if stats["errors"] or store.exists(refused_rows):
@@ -377,13 +382,13 @@ def run_entity(
         return stats
 
 
-def _by_source_row(spec: EntitySpec, mapped: DataFrame, target: DataFrame, written: DataFrame) -> dict[str, int]:
-    """Counts by source row, where keys are repeated within the run; else the actions have them already."""
-    seen = written.agg(F.count_if(F.col("action").isin(INSERT, UPDATE, UNCHANGED))).first()[0]
-    if mapped.where("NOT __bad").count() == seen:
-        return {}
+def _counted(spec: EntitySpec, mapped: DataFrame, target: DataFrame, written: DataFrame, watch: Watch) -> dict[str, int]:
+    """Counts by source row: those of the written actions, unless keys are repeated within the run."""
+    stats = sync_stats(written).first().asDict()
+    if watch.fit() == sum(stats[n] for n in ("inserted", "updated", "unchanged")):
+        return stats
     counts = row_stats(key_steps(spec, mapped, target)).first()
-    return {n: counts[n] for n in ("inserted", "updated", "unchanged")}
+    return stats | {n: counts[n] for n in ("inserted", "updated", "unchanged")}
 
 
 def _add_blindly(spec: EntitySpec, mapped: DataFrame, store) -> dict[str, None]:

@@ -104,9 +104,9 @@ one AS (SELECT *, row_number() OVER (ORDER BY rank, model) AS id FROM (SELECT *,
 two AS (SELECT *, row_number() OVER (ORDER BY rank, model) AS ord FROM (SELECT *, 'P' || k AS model FROM a)),
 b AS (SELECT one.*, coalesce(g.id, 0) AS category, coalesce(g.slug, 'de') || '/' || words AS base FROM one LEFT JOIN g ON one.code = g.code),
 s AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY id) - 1 AS slot FROM b),
-n AS (SELECT two.*, coalesce(own.id, 0) AS category, coalesce(g.slug, 'de') || '/' || words AS base,
+n AS (SELECT two.*, coalesce(own.id, 0) AS category, coalesce(g.slug, 'de') || '/' || two.words AS base,
              (SELECT count(*) FROM one) + row_number() OVER (ORDER BY ord) AS id
-      FROM two LEFT JOIN g own ON two.code = own.code LEFT JOIN b m ON m.model = two.master LEFT JOIN g ON g.id = coalesce(m.category, own.id) WHERE p_size > 45),
+      FROM two LEFT JOIN g own ON two.code = own.code LEFT JOIN b m ON m.model = two.master LEFT JOIN g ON g.id = coalesce(m.category, own.id) WHERE two.p_size > 45),
 u AS (SELECT *, coalesce((SELECT count(*) FROM b WHERE b.base = n.base), 0) + row_number() OVER (PARTITION BY base ORDER BY ord) - 1 AS slot FROM n),
 w AS (SELECT model, id, k, p_name, p_size, p_type, p_brand, price, category, master, base, slot, 'old' AS state FROM s
       UNION ALL SELECT model, id, k, p_name, p_size, p_type, p_brand, price, category, master, base, slot, 'new' FROM u)"""

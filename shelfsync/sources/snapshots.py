@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _PREFIX = "snapshot="
+_CLAIMS = "_claims"
 
 
 class _Tables(Mapping):
@@ -64,12 +65,26 @@ class SnapshotStore:
         df = self.spark.read.parquet(f"{self.root}/{name}/{_PREFIX}{current:08d}")
         return df.drop(*[c for c in df.columns if c.startswith("__")])
 
+    def _claim(self, name: str) -> int:
+        """A number for a new snapshot that no other writer has. Claims are files that are created exclusively."""
+        number = max(self._numbers(name, complete=False), default=0) + 1
+        while True:
+            path = self._path(name, _CLAIMS, f"{number:08d}")
+            system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            try:
+                system.create(path, False).close()
+                return number
+            except Exception:
+                if not system.exists(path):
+                    raise
+                number += 1
+
     def write(self, name: str, df: DataFrame, drop_on_read: Sequence[str] = ()) -> DataFrame:
         """Write a new snapshot and return it as written.
 
         Columns in ``drop_on_read`` are stored with the snapshot but are not part of the table.
         """
-        number = max(self._numbers(name, complete=False), default=0) + 1
+        number = self._claim(name)
         path = f"{self.root}/{name}/{_PREFIX}{number:08d}"
         df.withColumnsRenamed({c: f"__{c}" for c in drop_on_read}).write.mode("error").parquet(path)
         return self.spark.read.parquet(path).withColumnsRenamed({f"__{c}": c for c in drop_on_read})

@@ -298,6 +298,14 @@ def test_orphans_by_another_key_than_the_merge_key(spark):
     assert {k: (r["status"], r["action"]) for k, r in found.items()} == {"a": (1, "unchanged"), "b": (1, "kept"), "c": (0, "orphan")}
 
 
+def test_two_writers_get_different_numbers(spark, store):
+    store.write("t", spark.range(1))
+    one, two = store._claim("t"), store._claim("t")
+    assert two == one + 1
+    store.write("t", spark.range(5))
+    assert store.read("t").count() == 5 and store.names() == ["t"]
+
+
 def test_old_snapshots_are_dropped(spark, store):
     for i in range(4):
         store.write("t", spark.range(i + 1))
