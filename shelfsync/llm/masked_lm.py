@@ -33,7 +33,7 @@ HASHED = 64
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
-MINI = 256
+MINI = 1024
 SCALE = 64.0
 RATE = 1.0
 #: Positions of a task between two outputs of what it has learnt.
@@ -146,34 +146,37 @@ class Network:
         return out
 
     def step(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One step of SGD on a mini-batch. Rates are of a mean over SCALE positions, so that frequent weights, which get
-        the gradients of many positions at once, stay stable."""
-        order = np.argsort(target % CLASSES, kind="stable")
+        """One step of SGD on a mini-batch, one column for each position. Rates are of a mean over SCALE positions, so that
+        frequent weights, which get the gradients of many positions at once, stay stable. Classes are padded to one size,
+        so that their layers are one batched product."""
+        n = len(target)
+        order = np.argsort((target % CLASSES).astype(np.uint8), kind="stable")
         kind, place = target[order] % CLASSES, target[order] // CLASSES
         rows = (around[:, order] + STARTS).ravel()  # of all embeddings one below the other
         embed = self.embed.reshape(-1, WIDTH)
-        h = np.tanh(embed[rows].reshape(len(OFFSETS), -1, WIDTH).sum(axis=0))
+        h = np.tanh(embed[rows].reshape(len(OFFSETS), n, WIDTH).sum(axis=0))
         rate /= SCALE
-        p = _error(h @ self.classes + self.class_bias, kind)
-        cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-        groups = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
-        q = self.token_bias[kind]
-        for c, at in groups:
-            q[at] += h[at] @ self.tokens[c]
-        q = _error(q, place)
-        back = p @ self.classes.T
-        down = rate * q
-        for c, at in groups:
-            back[at] += q[at] @ self.tokens[c].T
-            self.tokens[c] -= h[at].T @ down[at]
-        self.token_bias[[c for c, _ in groups]] -= np.add.reduceat(down, [at.start for _, at in groups], axis=0)
-        self.classes -= rate * (h.T @ p)
-        self.class_bias -= rate * p.sum(axis=0)
+        p = _error(self.classes.T @ h.T + self.class_bias[:, None], kind)
+        cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
+        most = int(np.diff(cuts).max())
+        spot = kind * most + (np.arange(n) - cuts[kind])
+        inner = np.zeros((CLASSES * most, WIDTH), np.float32)
+        inner[spot] = h
+        inner = inner.reshape(CLASSES, most, WIDTH)
+        z = (inner @ self.tokens).reshape(-1, WITHIN)[spot] + self.token_bias[kind]
+        q = _error(np.ascontiguousarray(z.T), place)
+        outer = np.zeros((CLASSES * most, WITHIN), np.float32)
+        outer[spot] = q.T
+        outer = outer.reshape(CLASSES, most, WITHIN)
+        back = (self.classes @ p).T + (outer @ self.tokens.transpose(0, 2, 1)).reshape(-1, WIDTH)[spot]
+        self.tokens -= rate * (inner.transpose(0, 2, 1) @ outer)
+        self.token_bias -= rate * outer.sum(axis=1)
+        self.classes -= rate * (p @ h).T
+        self.class_bias -= rate * p.sum(axis=1)
         back *= rate * (1 - h * h)
-        by = np.argsort(rows, kind="stable")
-        rows = rows[by]
-        first = np.flatnonzero(np.diff(rows, prepend=-1))
-        embed[rows[first]] -= np.add.reduceat(back[by % len(back)], first, axis=0)
+        cells = rows[:, None] * WIDTH + np.arange(WIDTH, dtype=np.int32)
+        moved = np.bincount(cells.ravel(), np.broadcast_to(back, (len(OFFSETS), n, WIDTH)).ravel(), embed.size)
+        self.embed -= moved.astype(np.float32).reshape(self.embed.shape)
 
 
 def _log_softmax(z: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -182,11 +185,11 @@ def _log_softmax(z: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def _error(z: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Softmax of each row less one at its target, in place of z."""
-    z -= z.max(axis=1, keepdims=True)
+    """Softmax of each column less one at its target, in place of z."""
+    z -= z.max(axis=0)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    z[np.arange(len(z)), target] -= 1
+    z /= z.sum(axis=0)
+    z[target, np.arange(z.shape[1])] -= 1
     return z
 
 
@@ -196,17 +199,50 @@ def neighbours(tokens: np.ndarray) -> np.ndarray:
     return np.stack([wide[SIDE + o : SIDE + o + len(tokens)] for o in OFFSETS])
 
 
-def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
-    """The averaged weights after ROUNDS rounds over every position of all documents."""
+def coded(documents: DataFrame, known: dict[str, int]) -> DataFrame:
+    """Every row once in numbers: row, doc_id, n_tokens, tokens (16 bits each) and its rare words with their counts."""
+    sent = documents.sparkSession.sparkContext.broadcast(known)  # fixed size
+
+    def start():
+        known = sent.value
+        numbers = Numbers(known)
+        task, passed = TaskContext.get().partitionId(), 0
+
+        def rows(at):
+            nonlocal passed
+            found = [words(t) for t in at["text"]]
+            row = [(task << 40) + passed + i for i in range(len(found))]
+            passed += len(found)
+            return {
+                "row": row, "doc_id": at["doc_id"], "n_tokens": [len(f) for f in found],
+                "tokens": [encoded(f, numbers).astype(np.int16).tobytes() for f in found],
+                "rare": [list(Counter(w for w in f if w not in known).items()) for f in found],
+            }
+
+        return rows
+
+    kind = "row long, doc_id long, n_tokens long, tokens binary, rare map<string,int>"
+    return stored(map_columns(documents.select(F.col("doc_id").cast("long"), "text"), kind, start), "codes")
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.int16).astype(np.int32)
+
+
+def learn(documents: DataFrame, known: dict[str, int], codes: DataFrame | None = None) -> np.ndarray:
+    """The averaged weights after ROUNDS rounds over every position of all documents; `codes` as `coded` makes them.
+
+    Which positions a task trains on together depends on how the documents are dealt to tasks, and so do the weights, slightly.
+    """
+    codes = coded(documents, known) if codes is None else codes
     spark = documents.sparkSession
     weights = Network.start()
-    texts = documents.select("text").filter("text IS NOT NULL")
     for turn in range(ROUNDS):
-        sent = spark.sparkContext.broadcast((known, weights))
+        sent = spark.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
-            known, begin = sent.value
-            numbers, own = Numbers(known), begin.copy()
+            begin = sent.value
+            own = begin.copy()
             net, seen = Network(own), 0
             around, targets = [], []
 
@@ -224,9 +260,9 @@ def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
             held = 0
             for batch in batches:
                 for part in pieces(batch):
-                    for text in part.column(0).to_pylist():
-                        tokens = encoded(words(text), numbers)
-                        if len(tokens):
+                    for data in part.column(0).to_pylist():
+                        if data:
+                            tokens = _numbers(data)
                             around.append(neighbours(tokens))
                             targets.append(tokens)
                             held += len(tokens)
@@ -242,7 +278,7 @@ def learn(documents: DataFrame, known: dict[str, int]) -> np.ndarray:
             if seen:
                 yield _rows(own, seen)
 
-        sums = texts.mapInArrow(run, "place int, value double, n double").groupBy("place")
+        sums = codes.select("tokens").mapInArrow(run, "place int, value double, n double").groupBy("place")
         sums = sums.agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
         new = np.zeros(len(weights))
         for row in sums.toLocalIterator():  # as many rows as the network has weights
@@ -259,30 +295,30 @@ def _rows(weights: np.ndarray, seen: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["place", "value", "n"])
 
 
-def score(documents: DataFrame, known: dict[str, int], weights: np.ndarray, counts: DataFrame | None = None) -> DataFrame:
+def score(
+    documents: DataFrame, known: dict[str, int], weights: np.ndarray, counts: DataFrame | None = None, codes: DataFrame | None = None
+) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (the sum over all tokens) and mean of every row.
 
     A null or empty text, or one without a token, has no tokens, the sum 0 and a null mean. Equal texts have
     equal scores. A rare word counts with log p(bucket | neighbours) + log p(word | bucket); of the latter the
     counts (by default those of the documents themselves) are raised by one, and one more is kept for words
-    that they do not have.
+    that they do not have. `codes` are the documents as `coded` makes them.
     """
     counts = counted(documents) if counts is None else counts
+    codes = coded(documents, known) if codes is None else codes
     rare = counts.filter(~F.col("word").isin(list(known))) if known else counts
     totals = np.zeros(VOCABULARY)
     for r in rare.groupBy("bucket").agg((F.sum("n") + F.count("*") + 1).alias("total")).collect():  # HASHED rows at most
         totals[r["bucket"]] = np.log(r["total"])
-    sent = documents.sparkSession.sparkContext.broadcast((known, weights, totals))  # fixed size
+    sent = documents.sparkSession.sparkContext.broadcast((weights, totals))  # fixed size
 
     def start():
-        known, own, totals = sent.value
-        numbers, net = Numbers(known), Network(own)
-        task, passed = TaskContext.get().partitionId(), 0
+        own, totals = sent.value
+        net = Network(own)
 
         def rows(at):
-            nonlocal passed
-            found = [words(t) for t in at["text"]]
-            tokens = [encoded(f, numbers) for f in found]
+            tokens = [_numbers(t) for t in at["tokens"]]
             sizes = np.array([len(t) for t in tokens])
             sums = np.zeros(len(tokens))
             if sizes.sum():
@@ -293,16 +329,12 @@ def score(documents: DataFrame, known: dict[str, int], weights: np.ndarray, coun
                 full = sizes > 0
                 begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                 sums[full] = np.add.reduceat(np.concatenate(logs).astype(np.float64) - totals[target], begins)
-            row = [(task << 40) + passed + i for i in range(len(tokens))]
-            passed += len(tokens)
-            others = [list(Counter(w for w in f if w not in known).items()) for f in found]
-            return {"row": row, "doc_id": at["doc_id"], "n_tokens": sizes, "log_likelihood": sums, "rare": others}
+            return {"row": at["row"], "doc_id": at["doc_id"], "n_tokens": sizes, "log_likelihood": sums}
 
         return rows
 
-    kind = "row long, doc_id long, n_tokens long, log_likelihood double, rare map<string,int>"
-    base = stored(map_columns(documents.select(F.col("doc_id").cast("long"), "text"), kind, start), "scores")
-    met = base.select("row", F.explode("rare").alias("word", "times")).join(rare.select("word", "n"), "word", "left")
+    base = map_columns(codes.select("row", "doc_id", "tokens"), "row long, doc_id long, n_tokens long, log_likelihood double", start)
+    met = codes.select("row", F.explode("rare").alias("word", "times")).join(rare.select("word", "n"), "word", "left")
     one = F.round(F.log(F.coalesce("n", F.lit(0)) + 1.0) * UNIT).cast("long")
     nothing = [F.lit(None).cast(t).alias(n) for n, t in base.dtypes[1:4]]
     parts = met.select("row", *nothing, (one * F.col("times")).alias("within"))

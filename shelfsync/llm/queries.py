@@ -48,7 +48,8 @@ def op4_masked_lm(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents")
     counts = masked_lm.counted(documents)
     known = masked_lm.vocabulary(documents, counts)
-    return masked_lm.score(documents, known, masked_lm.learn(documents, known), counts)
+    codes = masked_lm.coded(documents, known)
+    return masked_lm.score(documents, known, masked_lm.learn(documents, known, codes), counts, codes)
 
 
 @query
