@@ -7,9 +7,10 @@ rows of an embedding table. A text is the average of its rows; a softmax layer t
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import keep_latest
 from .batches import map_columns, remainder
 
 BUCKETS = 1 << 14
@@ -105,22 +106,31 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Model | None:
     return model
 
 
+def _sample(known: DataFrame, languages: int) -> DataFrame:
+    """text, lang and times of the texts to learn from: the first SAMPLE of each language in the order of a hash, and no more
+    of them than an equal share of SAMPLE_CHARS holds, but one.
+
+    They are chosen by hash and length; only the chosen ones' texts leave their tasks.
+    """
+    keyed = known.withColumn("place", F.xxhash64(F.lit(11), F.col("doc_id"), F.col("text")))
+    narrow = keyed.select("lang", "place", F.char_length("text").alias("size"))
+    narrow = keep_latest(narrow, ["lang"], ["place"], SAMPLE, spread=["place"])  # cut in parts of a language first
+    order = Window.partitionBy("lang").orderBy("place")
+    narrow = narrow.withColumn("rank", F.row_number().over(order))
+    narrow = narrow.withColumn("sum", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    chosen = narrow.filter((F.col("rank") == 1) | (F.col("sum") <= SAMPLE_CHARS // max(1, languages)))
+    chosen = chosen.groupBy("lang", "place").agg(F.count("*").alias("times"))
+    texts = keyed.join(chosen, ["lang", "place"]).select("lang", "place", "text", "times").dropDuplicates(["lang", "place"])
+    return texts.orderBy("lang", "place").select("text", "lang", "times")
+
+
 def learn(documents: DataFrame, fold: int = 3, held: int = 1) -> Model | None:
     """Fit on rows outside the held-out fold with text and language; others teach nothing."""
     known = documents.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text <> '' AND doc_id IS NOT NULL")
     known = known.filter(remainder(F.col("doc_id"), fold) != held)
-    langs = [r["lang"] for r in known.select("lang").distinct().orderBy("lang").limit(1000).collect()]
-    texts, marks, left = [], [], SAMPLE_CHARS
-    order = F.xxhash64(F.lit(11), F.col("doc_id"), F.col("text"))
-    for lang in langs:
-        own = known.filter(F.col("lang") == lang).select(order.alias("place"), "text").orderBy("place", "text").limit(SAMPLE)
-        room = left // max(1, len(langs))
-        for r in own.toLocalIterator():
-            room -= len(r["text"])
-            if room < 0 and marks and marks[-1] == lang:
-                break
-            texts.append(r["text"])
-            marks.append(lang)
+    rows = _sample(known, known.select("lang").distinct().count())
+    found = [(r["text"], r["lang"]) for r in rows.collect() for _ in range(r["times"])]  # SAMPLE_CHARS, and a text of each language
+    texts, marks = [t for t, _ in found], [m for _, m in found]
     order = np.random.default_rng(3).permutation(len(texts))
     return fit([texts[i] for i in order], [marks[i] for i in order])
 
