@@ -4,8 +4,10 @@ Equal sets are one row of the matrix. Most rows are discarded before any product
 another row has, too, as its size demands of the overlap, first among its first columns in a fixed order, then among all. Of
 the rows left, only the rarest columns can make pairs: two similar rows share one of them. In each such column every row
 meets one of them, its hub; overlaps of a hub with a block of rows are one sparse product, and what is linked becomes one
-component. Rows of a column that are still in different components are then paired, if their places in the column order
-leave enough for the overlap, and multiplied in the same way. So no column emits all its pairs, and none is capped.
+component. In columns that still have different ones, first one row of each component is paired with those of the others,
+which joins the parts of large groups of near copies, and then all rows that are left in different components; only pairs are
+multiplied whose sizes, places in the column order and bitmaps allow the overlap. So no column emits all its pairs, and none is
+capped.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ from .near_duplicates import shingles
 #: Of the first columns of a row, one in this many of all has to be shared beyond the one that any pair shares.
 EXTRA = 10
 #: Bytes of sets that are multiplied with one hub in a block, about.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 18
+#: Words of 64 bits in the bitmap of a set.
+WORDS = 32
 #: Classes up to which a list of them (some 30 bytes each) is broadcast to find their rows; above, both sides are shuffled.
 BROADCAST = 400_000
 
@@ -163,24 +167,79 @@ def _overlaps(a: int | None, own: np.ndarray, others: list[tuple[int, np.ndarray
     return [(a, others[i][0], int(common[i])) for i in np.flatnonzero(keep)]
 
 
-def _hubs(rare: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each column's hub with its other rows. Rows of one column order prefer the same hubs."""
-    first = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("a"), F.col("n").alias("n_a")))
-    hubs = rare.groupBy("gram").agg(first.alias("hub"), F.count("*").alias("often")).filter("often > 1").select("gram", "hub.a", "hub.n_a")
-    met = rare.join(hubs, "gram").filter(f"id <> a AND 100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
+def _hubs(at: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each column's hub with its other rows. Rows that share many columns meet few different hubs."""
+    hubs = at.groupBy("gram").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("hub"))
+    hubs = hubs.select("gram", F.col("hub.id").alias("a"), F.col("hub.n").alias("n_a"))
+    met = at.join(hubs, "gram").filter(f"id <> a AND 100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
     return met.select("a", F.col("id").alias("b")).distinct()
 
 
-def _rest(rare: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of rows in different components that share a rare column early enough for the overlap they need."""
-    at = rare.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _speakers(at: DataFrame) -> DataFrame:
+    """Of each column one cell for every component."""
+    first = F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "shared", "place")).alias("first")
+    return at.groupBy("gram", "root").agg(first).select("gram", "root", "first.id", "first.n", "first.shared", "first.place")
+
+
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """id and bits: a bit for every value of the lowest bits of a set's columns."""
+
+    def start():
+        def rows(at):
+            bits = []
+            for s in at["set"]:
+                marks = np.zeros(64 * WORDS, np.uint8)
+                marks[np.frombuffer(s, np.uint64) % np.uint64(64 * WORDS)] = 1
+                bits.append(np.packbits(marks).view(np.int64).tolist())
+            return {"id": at["id"], "bits": bits}
+
+        return rows
+
+    return map_columns(sets.select("id", "set"), "id long, bits array<long>", start)
+
+
+def _open(at: DataFrame) -> DataFrame:
+    """The cells of columns in which different components are left."""
     split = at.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("gram")
-    at = stored(at.join(split, "gram"), "open")
-    other = at.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "shared", "place", "root")))
-    met = at.join(other, "gram")
+    return at.join(split, "gram")
+
+
+def _rest(at: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of rows in different components that share a rare column and could overlap enough for their sizes.
+
+    Two bounds of the overlap are tested within the join: the columns that are left after the places of the shared one, and
+    the bits in which bitmaps differ, each of which stands for a column that one row lacks.
+    """
+    wanted = sets.join(at.select("id").distinct(), "id", "left_semi")
+    at = stored(at.join(_bitmaps(wanted), "id"), "open")
+    other = at.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "shared", "place", "root", "bits")))
     fits = f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)"
     early = f"(100 + {percent}) * (1 + least(shared - place, shared_b - place_b)) >= {percent} * (n + n_b)"
-    return met.filter(f"id < id_b AND root <> root_b AND {fits} AND {early}").select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+    apart = " + ".join(f"bit_count(bits[{i}] ^ bits_b[{i}])" for i in range(WORDS))
+    near = f"(100 + {percent}) * ((n + n_b - ({apart})) div 2) >= {percent} * (n + n_b)"
+    met = at.join(other, "gram").filter(f"id < id_b AND root <> root_b AND {fits} AND {early} AND {near}")
+    return met.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _joined_by(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """id and root after links (a, b) have joined the components of their ends."""
+    ends = links.select("a", "b").join(roots.select(F.col("id").alias("a"), F.col("root").alias("u")), "a")
+    ends = ends.join(roots.select(F.col("id").alias("b"), F.col("root").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+    found = components(ends.distinct()).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+    return stored(roots.join(found, "root", "left").select("id", F.coalesce("joined", "root").alias("root")), "roots")
+
+
+def _components(sets: DataFrame, percent: int) -> DataFrame:
+    """id and root of every row of the matrix."""
+    roots = sets.select("id", F.col("id").alias("root"))
+    at = stored(_rare(sets, percent), "rare")
+    steps = (lambda at: _hubs(at, percent), lambda at: _rest(_speakers(at), sets, percent), lambda at: _rest(at, sets, percent))
+    for pairs in steps:
+        at = stored(_open(at.drop("root").join(roots, "id")), "open")
+        if at.isEmpty():
+            break
+        roots = _joined_by(roots, stored(product(pairs(at), sets, percent), "links"))
+    return roots
 
 
 def joined(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -204,17 +263,10 @@ def joined(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     near = classes.join(lone, "id", "left").filter(f"{length} - coalesce(lone, 0L) >= {_sure(_needed('n', percent), percent)}")
     sets = stored(_sets(documents, stored(near.select("id", "key", "class"), "wanted"), size), "sets")
 
-    rare = stored(_rare(sets, percent), "rare")
-    links = stored(product(_hubs(rare, percent), sets, percent), "links")
-    roots = stored(components(links.select("a", "b")), "roots")
-    more = stored(product(_rest(rare, roots, percent), sets, percent), "links")
-    if not more.isEmpty():
-        roots = stored(components(links.union(more).select("a", "b")), "roots")
-
-    linked = roots.join(classes.select(F.col("id").alias("node"), "least"), "node")
-    linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("smallest")), "root")
-    ids = classes.join(linked.select(F.col("node").alias("id"), "root", "smallest"), "id", "left")
-    ids = ids.select("class", "same", F.when(F.col("root").isNotNull(), F.col("smallest")).otherwise(F.col("least")).alias("smallest"))
+    roots = _components(sets, percent)
+    linked = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    least = linked.groupBy("root").agg(F.min("least").alias("smallest"))
+    ids = linked.join(least, "root").select("class", "same", "smallest")
     out = described.select("doc_id", "n", "class").join(ids, "class", "left")
     found = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), found, F.coalesce("same", F.lit(0).cast("long")).alias("n_same"))
