@@ -24,12 +24,12 @@ from .batches import map_columns, pieces, stored
 from .components import components
 from .near_duplicates import shingles
 
-#: Of the first columns of a row, one in this many of all has to be shared beyond the one that any pair shares.
-EXTRA = 10
+#: Of the first columns of a row, one in this many of all has to be shared beyond the one that any pair shares. Any number is exact.
+EXTRA = 5
 #: Bytes of sets that are multiplied with one hub in a block, about.
 BLOCK_BYTES = 1 << 18
 #: Words of 64 bits in the bitmap of a set.
-WORDS = 32
+WORDS = 16
 #: Classes up to which a list of them (some 30 bytes each) is broadcast to find their rows; above, both sides are shuffled.
 BROADCAST = 400_000
 
