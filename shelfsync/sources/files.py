@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import islice
@@ -72,16 +72,6 @@ class FolderTable:
         return {"lower": F.lower(c), "upper": F.upper(c)}.get(self.filename_case, c)
 
 
-def _record_files(spark: SparkSession, base: str, spec: FolderTable) -> DataFrame:
-    """Files directly below a record folder: record, file and decoded text."""
-    parts = F.split("path", "/")
-    text = F.rtrim(F.decode("content", spec.encoding), F.lit("\r\n"))
-    rows = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/{spec.folder}/*/*{spec.extension}")
-    return rows.select(
-        F.element_at(parts, -2).alias("record"), F.element_at(parts, -1).alias("file"), text.alias("text")
-    )
-
-
 def subfolders(path: str, size: int = 10_000) -> Iterator[list[str]]:
     """Names of the folders directly below one, in lists of at most ``size``. A local listing is read as it goes on."""
     if path.startswith("/") or path.startswith("file:"):
@@ -130,11 +120,98 @@ def _task_readable(base: str) -> bool:
     return True
 
 
-def _record_folders(spark: SparkSession, base: str, spec: FolderTable) -> DataFrame:
-    """Names of the record folders: also those without files."""
-    root = f"{base.rstrip('/')}/{spec.folder}"
-    if _task_readable(root):
-        return list_folders(spark, root).select(F.col("folder").alias("record"))
+#: Bytes of contents after which a task hands on the records it has read.
+BATCH_BYTES = 8 << 20
+
+
+def _seen(name: str) -> bool:
+    """Whether Spark's file sources would read a file of this name."""
+    if name.startswith(("_common_metadata", "_metadata")):
+        return True
+    return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
+
+
+def _file_names(path: str) -> list[str]:
+    """Names of the files directly below a folder."""
+    if path.startswith("/") or path.startswith("file:"):
+        with os.scandir("/" + path.removeprefix("file:").lstrip("/")) as entries:
+            return [e.name for e in entries if _seen(e.name) and e.is_file()]
+    system, at = fs.FileSystem.from_uri(path)
+    return [f.base_name for f in system.get_file_info(fs.FileSelector(at)) if f.type == fs.FileType.File and _seen(f.base_name)]
+
+
+def _content(path: str) -> bytes:
+    if path.startswith("/") or path.startswith("file:"):
+        with open("/" + path.removeprefix("file:").lstrip("/"), "rb") as file:
+            return file.read()
+    system, at = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(at) as stream:
+        return stream.read()
+
+
+def _stem(name: str) -> str:
+    return name.rpartition(".")[0] if "." in name else name
+
+
+def _reading(pick: Callable[[list[str]], list[str | None] | None], width: int):
+    """Records with the contents of the files that ``pick`` finds for their columns among the names in their folder."""
+    schema = pa.schema([("record", pa.string()), *((f"v{i}", pa.binary()) for i in range(width))])
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for part in batches:
+            for record, path in zip(*(c.to_pylist() for c in part.columns)):
+                chosen = pick(_file_names(path))
+                if chosen is None:
+                    continue
+                rows.append((record, *[None if n is None else _content(f"{path}/{n}") for n in chosen]))
+                size += 100 + sum(len(v) for v in rows[-1][1:] if v is not None)
+                if size >= BATCH_BYTES:
+                    yield batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield batch(rows)
+
+    return read
+
+
+def _names_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = {_stem(n) for path in batch.column(1).to_pylist() for n in _file_names(path)}
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(names), pa.string())], names=["name"])
+
+
+def _spread(spark: SparkSession, root: str) -> DataFrame:
+    """The record folders (name and path), dealt over tasks that look into them."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    return list_folders(spark, root).select("folder", "path").repartition(parts, "path")
+
+
+def _read_records(spark: SparkSession, root: str, spec: FolderTable, pick, columns: Sequence[str]) -> DataFrame:
+    """One row per record folder: record and the decoded texts. Tasks list the folders and read their files."""
+    schema = ", ".join(["record string", *(f"v{i} binary" for i in range(len(columns)))])
+    rows = _spread(spark, root).mapInArrow(_reading(pick, len(columns)), schema)
+    return rows.select("record", *[_text(F.col(f"v{i}"), spec).alias(c) for i, c in enumerate(columns)])
+
+
+def _text(content: Column, spec: FolderTable) -> Column:
+    return F.rtrim(F.decode(content, spec.encoding), F.lit("\r\n"))
+
+
+def _record_files(spark: SparkSession, root: str, spec: FolderTable, pattern: str) -> DataFrame:
+    """Files directly below a record folder as Spark's reader finds them: record, file and decoded text."""
+    parts = F.split("path", "/")
+    rows = spark.read.format("binaryFile").load(f"{root}/*/{pattern}")
+    return rows.select(
+        F.element_at(parts, -2).alias("record"), F.element_at(parts, -1).alias("file"), _text(F.col("content"), spec).alias("text")
+    )
+
+
+def _record_folders(spark: SparkSession, root: str) -> DataFrame:
+    """Names of the record folders, also those without files, as the driver lists them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     names = [(s.getPath().getName(),) for s in found if s.isDirectory()]
@@ -154,18 +231,28 @@ def _keys(rows: DataFrame, spec: FolderTable) -> tuple[DataFrame, list[Column]]:
 def scan_folder_table(spark: SparkSession, base: str, spec: FolderTable, empty_folders: bool = True) -> DataFrame:
     """One row per record folder; a missing file is null.
 
-    Spark's file source does not see folders without files. Their names come from a listing in a
-    task; leave it out with ``empty_folders=False`` where record folders always hold files.
+    Folders are listed and files are read by tasks, each record whole by one of them, so neither names nor texts pass
+    through the driver or a shuffle. Only of stores that nothing but Spark's own readers knows the driver lists the files.
+    Folders without files are left out with ``empty_folders=False``.
     """
     if not spec.keys:
         raise ValueError(f"folder table {spec.folder} needs at least one key")
-    values = [
-        F.max(F.when(F.col("file") == spec.field_file(f), F.col("text"))).alias(f) for f in spec.fields
-    ]
-    records = _record_files(spark, base, spec)
-    if empty_folders:
-        records = records.unionByName(_record_folders(spark, base, spec), allowMissingColumns=True)
-    rows = records.groupBy("record").agg(*values) if values else records.select("record").distinct()
+    root = f"{base.rstrip('/')}/{spec.folder}"
+    wanted, extension = [spec.field_file(f) for f in spec.fields], spec.extension
+
+    def pick(names: list[str]) -> list[str | None] | None:
+        if not empty_folders and not any(n.endswith(extension) for n in names):
+            return None
+        return [w if w in names else None for w in wanted]
+
+    if _task_readable(root):
+        rows = _read_records(spark, root, spec, pick, spec.fields)
+    else:
+        files = _record_files(spark, root, spec, f"*{extension}")
+        if empty_folders:
+            files = files.unionByName(_record_folders(spark, root), allowMissingColumns=True)
+        values = [F.max(F.when(F.col("file") == spec.field_file(f), F.col("text"))).alias(f) for f in spec.fields]
+        rows = files.groupBy("record").agg(*values) if values else files.select("record").distinct()
     rows, keys = _keys(rows, spec)
     return rows.select(*keys, *spec.fields)
 
@@ -183,19 +270,29 @@ def scan_folder_table_dynamic(
     by extension counts. Declare ``names`` to fix the columns and save the pass that looks for them; without them
     more than MOST_FIELDS different names are refused.
     """
-    parts = F.split("path", "/")
-    text = F.rtrim(F.decode("content", spec.encoding), F.lit("\r\n"))
-    rows = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/{spec.folder}/*/*")
-    files = rows.select(F.element_at(parts, -2).alias("record"), F.element_at(parts, -1).alias("file"), text.alias("text"))
-    files = files.withColumn("name", stem(F.col("file")))
+    root = f"{base.rstrip('/')}/{spec.folder}"
+    in_tasks = _task_readable(root)
+    files = None if in_tasks else _record_files(spark, root, spec, "*").withColumn("name", stem(F.col("file")))
     if names is None:
-        found = files.select("name").distinct().orderBy("name").limit(MOST_FIELDS + 1).collect()
+        every = _spread(spark, root).mapInArrow(_names_found, "name string") if in_tasks else files.select("name")
+        found = every.distinct().orderBy("name").limit(MOST_FIELDS + 1).collect()
         if len(found) > MOST_FIELDS:
             raise ValueError(f"folder table {spec.folder} has more than {MOST_FIELDS} different file names")
         names = [r["name"] for r in found]
-    if empty_folders:
-        files = files.unionByName(_record_folders(spark, base, spec), allowMissingColumns=True)
-    values = [F.max_by(F.when(F.col("name") == n, F.col("text")), F.when(F.col("name") == n, F.col("file"))).alias(n) for n in names]
-    rows = files.groupBy("record").agg(*values) if values else files.select("record").distinct()
+    columns = list(names)
+
+    def pick(present: list[str]) -> list[str | None] | None:
+        if not empty_folders and not present:
+            return None
+        last = {_stem(n): n for n in sorted(present)}
+        return [last.get(c) for c in columns]
+
+    if in_tasks:
+        rows = _read_records(spark, root, spec, pick, columns)
+    else:
+        if empty_folders:
+            files = files.unionByName(_record_folders(spark, root), allowMissingColumns=True)
+        values = [F.max_by(F.when(F.col("name") == n, F.col("text")), F.when(F.col("name") == n, F.col("file"))).alias(n) for n in columns]
+        rows = files.groupBy("record").agg(*values) if values else files.select("record").distinct()
     rows, keys = _keys(rows, spec)
-    return rows.select(*keys, *[F.col(f"`{n}`") for n in names])
+    return rows.select(*keys, *[F.col(f"`{n}`") for n in columns])

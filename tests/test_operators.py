@@ -253,3 +253,42 @@ def test_blank_keys_are_spread_and_find_nothing(spark):
     assert [r["key"] for r in lookups.resolve_fk(rows, "key", dim, "code").collect()] == [7] * 60
     spread = rows.select(lookups.spread_blanks(rows, lookups.lookup_key(F.col("blank"))).alias("k")).distinct().count()
     assert spread > 30
+
+
+def _folders(tmp_path, n):
+    for i in range(n):
+        path = tmp_path / "T" / f"k{i}"
+        path.mkdir(parents=True)
+        if i % 10:
+            (path / "F.txt").write_bytes(f"text {i}\r\n".encode() * (1 + i % 2))
+    (tmp_path / "T" / "k1" / "below").mkdir()
+    (tmp_path / "T" / "k1" / "below" / "F.txt").write_text("not a field")
+    (tmp_path / "T" / "k1" / "F.md").write_text("before .txt")
+    (tmp_path / "T" / "k2" / "_F.txt").write_text("hidden")
+
+
+def _text_of(i):
+    return None if i % 10 == 0 else "\r\n".join([f"text {i}"] * (1 + i % 2))
+
+
+def _driver_lists_nothing(rows, spark):
+    return not rows.inputFiles() and rows.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_folder_table_is_read_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "BATCH_BYTES", 500)
+    _folders(tmp_path, 400)
+    rows = files.scan_folder_table(spark, str(tmp_path), files.FolderTable("T", ["id"], ["F", "G"]))
+    assert {tuple(r) for r in rows.collect()} == {(f"k{i}", _text_of(i), None) for i in range(400)} and rows.count() == 400
+    assert _driver_lists_nothing(rows, spark)
+    filled = files.scan_folder_table(spark, f"file://{tmp_path}", files.FolderTable("T", ["id"], ["F"]), empty_folders=False)
+    assert {r["id"] for r in filled.collect()} == {f"k{i}" for i in range(400) if i % 10}
+
+
+def test_folder_table_through_sparks_reader(spark, tmp_path, monkeypatch):
+    _folders(tmp_path, 30)
+    spec = files.FolderTable("T", ["id"], ["F"])
+    own = [set(map(tuple, files.scan_folder_table(spark, str(tmp_path), spec, empty).collect())) for empty in (True, False)]
+    monkeypatch.setattr(files, "_task_readable", lambda base: False)
+    theirs = [set(map(tuple, files.scan_folder_table(spark, str(tmp_path), spec, empty).collect())) for empty in (True, False)]
+    assert own == theirs
