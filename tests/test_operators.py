@@ -292,3 +292,13 @@ def test_folder_table_through_sparks_reader(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "_task_readable", lambda base: False)
     theirs = [set(map(tuple, files.scan_folder_table(spark, str(tmp_path), spec, empty).collect())) for empty in (True, False)]
     assert own == theirs
+
+
+def test_dynamic_folder_table_is_read_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "BATCH_BYTES", 500)
+    _folders(tmp_path, 400)
+    rows = files.scan_folder_table_dynamic(spark, str(tmp_path), files.FolderTable("T", ["id"]))
+    assert rows.columns == ["id", "F"] and {tuple(r) for r in rows.collect()} == {(f"k{i}", _text_of(i)) for i in range(400)}
+    assert _driver_lists_nothing(rows, spark)
+    named = files.scan_folder_table_dynamic(spark, str(tmp_path), files.FolderTable("T", ["id"]), names=["F", "none"], empty_folders=False)
+    assert named.count() == 360 and named.where("none IS NOT NULL").isEmpty()
