@@ -233,21 +233,41 @@ def fold_duplicates(
     )
 
 
+# Rows of a key above which its rows are sorted over all tasks instead of in one.
+HOT_ROWS = 1 << 16
+
+
 def neighbour_steps(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], changed: Callable[[str, str], Column]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], changed: Callable[[str, str], Column],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per key: taken (rows), moved (rows that differ from the one before them) and head (the fields of the first row).
 
-    ``changed`` tests two structs of the fields, given by name. Rows of keys that occur more than once are sorted over all
-    tasks, so a hot key falls into many ranges; neighbours are compared within a range, then the ends of the ranges with
-    each other, one row for each key and range.
+    ``changed`` tests two structs of the fields, given by name. The rows of a key are sorted in the task of the key. Only those
+    of keys with more than ``hot_rows`` rows are sorted over all tasks, so that a hot key falls into many ranges; neighbours
+    are compared within a range, then the ends of the ranges with each other, one row for each key and range.
     """
-    df = df.select(*df.columns, F.struct(*[F.col(c) for c in fields or keys]).alias("__row"))
-    often = df.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*keys)
-    none = F.lit(0).cast("bigint")
-    single = df.join(often, list(keys), "left_anti")
-    single = single.select(*keys, (none + 1).alias("taken"), none.alias("moved"), F.col("__row").alias("head"))
-    many = df.join(often, list(keys), "left_semi").orderBy(*keys, *sort_columns(order)).checkpoint()
+    by = [c.split()[0] for c in order]
+    hot = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows).select(*keys).checkpoint()
+    df = df.select(*dict.fromkeys([*keys, *by]), F.struct(*[F.col(c) for c in fields or keys]).alias("__row"))
+    if hot.isEmpty():
+        return _steps_in_tasks(df, keys, order, changed)
+    rest = _steps_in_tasks(df.join(hot, list(keys), "left_anti"), keys, order, changed)
+    return rest.unionByName(_steps_in_ranges(df.join(hot, list(keys), "left_semi"), keys, order, changed))
+
+
+def _steps_in_tasks(df: DataFrame, keys: Sequence[str], order: Sequence[str], changed: Callable[[str, str], Column]) -> DataFrame:
+    inside = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    rows = df.withColumn("__before", F.lag("__row").over(inside))
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("taken"),
+        F.count_if(F.col("__before").isNotNull() & changed("__row", "__before")).alias("moved"),
+        F.first(F.when(F.col("__before").isNull(), F.col("__row")), ignorenulls=True).alias("head"),
+    )
+
+
+def _steps_in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], changed: Callable[[str, str], Column]) -> DataFrame:
+    many = df.orderBy(*keys, *sort_columns(order)).checkpoint()
     many = many.withColumn("__part", F.shiftright(F.monotonically_increasing_id(), 33))
     inside = Window.partitionBy("__part", *keys).orderBy(*sort_columns(order))
     many = many.withColumn("__before", F.lag("__row").over(inside)).withColumn("__after", F.lead("__row").over(inside))
@@ -259,10 +279,9 @@ def neighbour_steps(
     )
     ranges = ranges.withColumn("__before", F.lag("tail").over(Window.partitionBy(*keys).orderBy("__part")))
     step = F.when(F.col("__before").isNotNull() & changed("head", "__before"), 1).otherwise(0)
-    joined = ranges.groupBy(*keys).agg(
+    return ranges.groupBy(*keys).agg(
         F.sum("taken").alias("taken"), F.sum(F.col("moved") + step).alias("moved"), F.min_by("head", "__part").alias("head")
     )
-    return single.unionByName(joined)
 
 
 def total_order(df: DataFrame, columns: Sequence[str]) -> list[str]:

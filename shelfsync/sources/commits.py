@@ -312,14 +312,14 @@ class Transaction:
         order = [k for k in state.keys if k in rows.columns]
         placed = rows.withColumn(BUCKET, state.bucket())
         if state.buckets > 1:
-            placed = placed.repartition(BUCKET)
+            placed = placed.hint("rebalance", F.col(BUCKET))  # a large bucket is written by several tasks, as several files
         placed = placed.sortWithinPartitions(BUCKET, *order) if order else placed
         placed.write.partitionBy(BUCKET).parquet(f"{self.store.root}/{folder}")
         kinds = T.StructType([*rows.schema, T.StructField(BUCKET, T.IntegerType())])
         written = self.spark.read.schema(kinds).parquet(f"{self.store.root}/{folder}")
-        path = F.regexp_extract(F.col("_metadata.file_path"), f"({folder}/.*)$", 1)
-        files = written.groupBy(F.col(BUCKET).alias("bucket"), F.lit(seq or 0).cast("bigint").alias("seq"), path.alias("path"))
-        files = files.agg(F.count("*").alias("rows"))
+        files = written.groupBy(F.col(BUCKET).alias("bucket"), F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+        path = F.regexp_extract("file", f"({folder}/.*)$", 1).alias("path")
+        files = files.select("bucket", F.lit(seq or 0).cast("bigint").alias("seq"), path, "rows")
         manifest = f"{name}/manifest-{uuid.uuid4().hex}"
         reduce(DataFrame.unionByName, [files, *kept]).write.parquet(f"{self.store.root}/{manifest}")
         self.changed[name] = replace(state, manifest=manifest)

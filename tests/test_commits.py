@@ -351,3 +351,40 @@ def test_errors_of_functions_are_counted(spark):
     assert [r[0] for r in df.select(step(F.col("v"))).collect()] == ["10", "0", None, "x", "0"]
     found = {r["message"].split(":")[0]: (r["function"], r["times"], r["example"]) for r in registry.error_log(df, [(step, F.col("v"))]).collect()}
     assert found == {"ZeroDivisionError": ("tenth", 2, "0"), "ValueError": ("tenth", 1, "x")}
+
+
+def test_steps_of_rare_and_hot_keys(spark):
+    import random
+
+    from shelfsync.operators.ordering import neighbour_steps
+
+    dice = random.Random(5)
+    rows = [(f"k{min(dice.randrange(30), 12)}", i, dice.randrange(3)) for i in range(600)]
+    expected = {}
+    for key, _, value in sorted(rows, key=lambda r: r[1]):
+        taken, moved, head, last = expected.get(key, (0, 0, value, value))
+        expected[key] = (taken + 1, moved + (value != last), head, value)
+    dice.shuffle(rows)
+    df = spark.createDataFrame(rows, "key string, at int, value int")
+    changed = lambda a, b: F.expr(f"{a}.value <> {b}.value")
+    for hot in (0, 25, 1000):
+        steps = neighbour_steps(df, ["key"], ["at"], ["value"], changed, hot_rows=hot)
+        assert {r["key"]: (r["taken"], r["moved"], r["head"]["value"]) for r in steps.collect()} == {k: v[:3] for k, v in expected.items()}
+    plain = neighbour_steps(df, ["key"], ["at"], ["value"], changed)
+    assert "rangepartitioning" not in plain._jdf.queryExecution().toString() and "Join" not in plain._jdf.queryExecution().toString()
+
+
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path):
+    from shelfsync.sources.commits import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    df = spark.range(40_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(8)
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        store.create("t", df, ["k"], 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    found = store.files("t").groupBy("bucket").agg(F.count("*").alias("files"), F.sum("rows").alias("rows")).collect()
+    assert len(found) == 2 and all(r["files"] > 2 for r in found) and sum(r["rows"] for r in found) == 40_000
+    assert store.read("t").exceptAll(df).isEmpty() and store.read("t", [1]).count() == max(r["rows"] for r in found if r["bucket"] == 1)
