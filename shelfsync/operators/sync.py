@@ -207,10 +207,13 @@ def typed(spec: EntitySpec, rows: DataFrame, target: DataFrame) -> DataFrame:
 def _history(run: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Keys whose rows differ among themselves within the run: keys and ``__moved``.
 
-    The smallest and the largest canonical value differ exactly then, so no group is sorted or gathered.
+    The smallest and the largest canonical value differ exactly then, so no group is sorted or gathered. Values are
+    compared for keys that occur more than once only.
     """
     value = F.struct(*[F.expr(canonical(f"`{c}`", run.schema[c].dataType)).alias(c) for c in fields])
-    spread = run.where("NOT __bad").groupBy(*keys).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    fit = run.where("NOT __bad")
+    often = fit.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*keys)
+    spread = fit.join(often, list(keys), "left_semi").groupBy(*keys).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
     return spread.where("__low <> __high").select(*keys, F.lit(True).alias("__moved"))
 
 

@@ -336,3 +336,11 @@ def test_batch_run_twice(spark, store):
     second = sync.run_entity_batch(entity, source, store, store.tables())
     assert (second["inserted"], second["updated"], store.read("article").count()) == (0, 3, 3)
     assert sorted(r["id"] for r in store.read("article").collect()) == [4, 5, 6]
+
+
+def test_history_looks_at_repeated_keys_only(spark):
+    rows = [("a", "1", False), ("a", "2", False), ("b", "1", False), ("c", "1", False), ("c", "1.0", False), ("d", "1", False), ("d", "2", True)]
+    run = spark.createDataFrame(rows, "key string, price string, __bad boolean")
+    found = sync._history(run, ["key"], ["price"])
+    assert [tuple(r) for r in found.collect()] == [("a", True)]
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
