@@ -28,6 +28,9 @@ from .near_duplicates import shingles
 EXTRA = 5
 #: Bytes of sets that are multiplied with one hub in a block, about.
 BLOCK_BYTES = 1 << 18
+#: Bits of a column that are compared when rows are discarded by their first columns. Columns that agree in them pass for shared, which
+#: at most keeps a row; any number is exact.
+FOLDED = 40
 #: Words of 64 bits in the bitmap of a set.
 WORDS = 16
 #: Classes up to which a list of them (some 30 bytes each) is broadcast to find their rows; above, both sides are shuffled.
@@ -74,8 +77,12 @@ def _listed(classes: DataFrame) -> DataFrame:
 
 
 def _alone(incidence: DataFrame) -> DataFrame:
-    """id and lone: the number of columns of each row that no other row of `incidence` (id, gram) has."""
-    columns = incidence.groupBy("gram").agg(F.count("*").alias("often"), F.min("id").alias("id"))
+    """id and lone: the number of columns of each row that no other row of `incidence` (id, gram) has, at most.
+
+    Columns are told apart by FOLDED of their bits, as whole ones do not pack in a shuffle.
+    """
+    folded = incidence.select("id", F.col("gram").bitwiseAND(F.lit((1 << FOLDED) - 1)).alias("gram"))
+    columns = folded.groupBy("gram").agg(F.count("*").alias("often"), F.min("id").alias("id"))
     return columns.filter("often = 1").groupBy("id").agg(F.count("*").alias("lone"))
 
 
@@ -112,27 +119,25 @@ def _rare(sets: DataFrame, percent: int) -> DataFrame:
     Columns are in order of rarity. Those that no other row has come first; they cannot be shared and count for the length.
     """
     cells = stored(_incidence(sets), "cells")
-    columns = cells.groupBy("gram").agg(F.count("*").alias("often"), F.min("id").alias("owner"))
-    columns = stored(columns, "columns")
-    lone = columns.filter("often = 1").groupBy(F.col("owner").alias("id")).agg(F.count("*").alias("lone"))
-    rows = sets.select("id", "n").join(lone, "id", "left").withColumn("shared", F.expr("n - coalesce(lone, 0L)"))
-    rows = rows.filter(f"shared >= {_needed('n', percent)}").select("id", "n", "shared")
-    often = columns.filter("often > 1").select("gram", "often")
-    met = cells.join(rows, "id").join(often, "gram")
-    met = met.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("often", "gram")))
+    often = stored(cells.groupBy("gram").agg(F.count("*").alias("often")).filter("often > 1"), "columns")
+    met = cells.join(often, "gram").join(sets.select("id", "n"), "id")
+    own = Window.partitionBy("id")
+    met = met.withColumn("place", F.row_number().over(own.orderBy("often", "gram"))).withColumn("shared", F.count("*").over(own))
     return met.filter(f"place <= shared - {_needed('n', percent)} + 1").select("gram", "id", "n", "shared", "place")
 
 
 def product(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b and common of the pairs (a, b) whose overlap is large enough for their sizes.
 
-    The rows b of one a are dealt to blocks of bounded bytes; every block holds the set of a once.
+    The rows b of one a are dealt to blocks of bounded bytes; every block holds the set of a once. Blocks are settled by sizes, so that
+    the sets are shuffled twice only: to their places, and with those to the blocks.
     """
-    member = pairs.join(sets.select(F.col("id").alias("b"), "n", "set"), "b")
-    blocks = pairs.join(sets.select(F.col("id").alias("b"), "n"), "b").groupBy("a").agg((F.expr(f"sum(n) * 8 div {BLOCK_BYTES}") + 1).alias("blocks"))
-    member = member.join(blocks, "a").select("a", F.expr("pmod(xxhash64(b), blocks)").alias("block"), "b", "set")
-    hub = blocks.select("a", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block")).join(sets.select(F.col("id").alias("a"), "set"), "a")
-    rows = hub.select("a", "block", F.lit(None).cast("long").alias("b"), "set").union(member)
+    pairs = stored(pairs, "pairs")
+    sizes = sets.select(F.col("id").alias("b"), "n")
+    blocks = pairs.join(sizes, "b").groupBy("a").agg((F.expr(f"sum(n) * 8 div {BLOCK_BYTES}") + 1).alias("blocks"))
+    member = pairs.join(blocks, "a").select("a", F.expr("pmod(xxhash64(b), blocks)").alias("block"), "b", F.col("b").alias("id"))
+    hub = blocks.select("a", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(None).cast("long").alias("b"), F.col("a").alias("id"))
+    rows = hub.union(member).join(sets.select("id", "set"), "id").select("a", "block", "b", "set")
     rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", "b")  # the null, that is the hub, comes first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,8 +215,7 @@ def _rest(at: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Two bounds of the overlap are tested within the join: the columns that are left after the places of the shared one, and
     the bits in which bitmaps differ, each of which stands for a column that one row lacks.
     """
-    wanted = sets.join(at.select("id").distinct(), "id", "left_semi")
-    at = stored(at.join(_bitmaps(wanted), "id"), "open")
+    at = stored(at.join(_bitmaps(sets), "id"), "open")  # of all sets: a bitmap is smaller than a set to be shuffled
     other = at.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "shared", "place", "root", "bits")))
     fits = f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)"
     early = f"(100 + {percent}) * (1 + least(shared - place, shared_b - place_b)) >= {percent} * (n + n_b)"

@@ -172,6 +172,22 @@ def test_the_product_counts_overlaps(spark):
     assert sorted(map(tuple, ngram_join.product(pairs, stored(frame, "sets"), 80).collect())) == [(1, 3, 5), (2, 3, 5)]
 
 
+def test_the_product_reads_sets_once(spark):
+    frame = spark.createDataFrame([(i, 1, bytes(8)) for i in range(9)], "id long, n long, set binary")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 9)], "a long, b long")
+    out = ngram_join.product(pairs, stored(frame, "sets"), 80)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("set:binary") == 1 and out.count() == 8
+
+
+def test_folded_columns_discard_no_similar_row(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FOLDED", 3)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words[:57]), " ".join(words[::-1]), "a b c d e f", "a b c d e f g"]
+    out = ngram_join.joined(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+
+
 # --- spelling variants ---------------------------------------------------------------------------------------
 
 
