@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -196,13 +197,18 @@ def _write_records(root: str, folder: str, fields: list[str]):
         from pyarrow import fs
 
         system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root.removeprefix("file:"))
+        local = isinstance(system, fs.LocalFileSystem)
         for batch in batches:
             for row in batch.to_dict("records"):
                 path = f"{base}/{folder}/{row['record']}"
-                system.create_dir(path, recursive=True)
+                if local:
+                    os.makedirs(path, exist_ok=True)
+                else:
+                    system.create_dir(path, recursive=True)
                 for name in fields:
                     if row[name] is not None:
-                        with system.open_output_stream(f"{path}/{name}.txt") as out:
+                        file = f"{path}/{name}.txt"
+                        with open(file, "wb") if local else system.open_output_stream(file) as out:
                             out.write(row[name].encode())
             yield batch[["record"]]
 

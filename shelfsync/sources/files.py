@@ -154,7 +154,10 @@ def _stem(name: str) -> str:
 
 
 def _reading(pick: Callable[[list[str]], list[str | None] | None], width: int):
-    """Records with the contents of the files that ``pick`` finds for their columns among the names in their folder."""
+    """Records with the contents of the files that ``pick`` finds for their columns among the names in their folder.
+
+    Names that come with a record are not listed again.
+    """
     schema = pa.schema([("record", pa.string()), *((f"v{i}", pa.binary()) for i in range(width))])
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -163,8 +166,8 @@ def _reading(pick: Callable[[list[str]], list[str | None] | None], width: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for part in batches:
-            for record, path in zip(*(c.to_pylist() for c in part.columns)):
-                chosen = pick(_file_names(path))
+            for record, path, *names in zip(*(c.to_pylist() for c in part.columns)):
+                chosen = pick(names[0] if names else _file_names(path))
                 if chosen is None:
                     continue
                 rows.append((record, *[None if n is None else _content(f"{path}/{n}") for n in chosen]))
@@ -178,9 +181,15 @@ def _reading(pick: Callable[[list[str]], list[str | None] | None], width: int):
     return read
 
 
+def _with_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = pa.array([_file_names(path) for path in batch.column(1).to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, names], names=["folder", "path", "names"])
+
+
 def _names_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = {_stem(n) for path in batch.column(1).to_pylist() for n in _file_names(path)}
+        names = {_stem(n) for found in batch.column(0).to_pylist() for n in found}
         yield pa.RecordBatch.from_arrays([pa.array(sorted(names), pa.string())], names=["name"])
 
 
@@ -190,10 +199,10 @@ def _spread(spark: SparkSession, root: str) -> DataFrame:
     return list_folders(spark, root).select("folder", "path").repartition(parts, "path")
 
 
-def _read_records(spark: SparkSession, root: str, spec: FolderTable, pick, columns: Sequence[str]) -> DataFrame:
-    """One row per record folder: record and the decoded texts. Tasks list the folders and read their files."""
+def _read_records(folders: DataFrame, spec: FolderTable, pick, columns: Sequence[str]) -> DataFrame:
+    """One row per record folder: record and the decoded texts. Tasks read the files, and list folders that come without names."""
     schema = ", ".join(["record string", *(f"v{i} binary" for i in range(len(columns)))])
-    rows = _spread(spark, root).mapInArrow(_reading(pick, len(columns)), schema)
+    rows = folders.mapInArrow(_reading(pick, len(columns)), schema)
     return rows.select("record", *[_text(F.col(f"v{i}"), spec).alias(c) for i, c in enumerate(columns)])
 
 
@@ -246,7 +255,7 @@ def scan_folder_table(spark: SparkSession, base: str, spec: FolderTable, empty_f
         return [w if w in names else None for w in wanted]
 
     if _task_readable(root):
-        rows = _read_records(spark, root, spec, pick, spec.fields)
+        rows = _read_records(_spread(spark, root), spec, pick, spec.fields)
     else:
         files = _record_files(spark, root, spec, f"*{extension}")
         if empty_folders:
@@ -268,13 +277,19 @@ def scan_folder_table_dynamic(
 
     A column is named like its files without their extension, whatever that is; of two files with one name the last
     by extension counts. Declare ``names`` to fix the columns and save the pass that looks for them; without them
-    more than MOST_FIELDS different names are refused.
+    more than MOST_FIELDS different names are refused. That pass lists every folder once and keeps the names in the checkpoint
+    folder; the rows are those of its listing.
     """
     root = f"{base.rstrip('/')}/{spec.folder}"
     in_tasks = _task_readable(root)
+    folders = _spread(spark, root) if in_tasks else None
     files = None if in_tasks else _record_files(spark, root, spec, "*").withColumn("name", stem(F.col("file")))
     if names is None:
-        every = _spread(spark, root).mapInArrow(_names_found, "name string") if in_tasks else files.select("name")
+        if in_tasks:
+            folders = folders.mapInArrow(_with_names, "folder string, path string, names array<string>").checkpoint()
+            every = folders.select("names").mapInArrow(_names_found, "name string")
+        else:
+            every = files.select("name")
         found = every.distinct().orderBy("name").limit(MOST_FIELDS + 1).collect()
         if len(found) > MOST_FIELDS:
             raise ValueError(f"folder table {spec.folder} has more than {MOST_FIELDS} different file names")
@@ -288,7 +303,7 @@ def scan_folder_table_dynamic(
         return [last.get(c) for c in columns]
 
     if in_tasks:
-        rows = _read_records(spark, root, spec, pick, columns)
+        rows = _read_records(folders, spec, pick, columns)
     else:
         if empty_folders:
             files = files.unionByName(_record_folders(spark, root), allowMissingColumns=True)

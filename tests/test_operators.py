@@ -302,3 +302,12 @@ def test_dynamic_folder_table_is_read_by_tasks(spark, tmp_path, monkeypatch):
     assert _driver_lists_nothing(rows, spark)
     named = files.scan_folder_table_dynamic(spark, str(tmp_path), files.FolderTable("T", ["id"]), names=["F", "none"], empty_folders=False)
     assert named.count() == 360 and named.where("none IS NOT NULL").isEmpty()
+
+
+def test_dynamic_folder_table_lists_folders_once(spark, tmp_path):
+    _folders(tmp_path, 20)
+    rows = files.scan_folder_table_dynamic(spark, str(tmp_path), files.FolderTable("T", ["id"]))
+    before = {tuple(r) for r in rows.collect()}
+    (tmp_path / "T" / "later").mkdir()
+    (tmp_path / "T" / "k0" / "G.txt").write_bytes(b"later")
+    assert {tuple(r) for r in rows.collect()} == before and len(before) == 20
