@@ -100,6 +100,52 @@ def test_masked_training_sees_every_position(spark):
     assert moved[:, own].all() and masked_lm.ROUNDS >= 2
 
 
+def test_texts_are_cut_as_the_pattern_does():
+    draw = random.Random(6)
+    odd = [None, "", " ", "\n\n", "a", "Ab_1, c!!\x1c\x85d²½", "İ ΣΑΣ\nΑΣ", "漢字\u200bx\u0301 \U0001d518\U0001d52b\U0001f600é", "."]
+    odd += ["".join(draw.choice("aÀß_9 .,\t\u2003漢\U0001f600\u0301") for _ in range(draw.randint(0, 40))) for _ in range(300)]
+    for texts in (odd, odd[::-1], [None], [""], ["one"]):
+        sizes, found = masked_lm.cut_up(texts)
+        wanted = [masked_lm.words(t) for t in texts]
+        assert sizes.tolist() == [len(w) for w in wanted] and found.to_pylist() == [w for own in wanted for w in own]
+
+
+def test_chunks_hold_every_word_once(spark):
+    texts = ["one two one", "", None, "two, three", "one " * 500] * 3
+    docs = spark.createDataFrame([(i if i != 4 else None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    chunks = masked_lm.lexed(docs).collect()
+    words = {(r["chunk"], r["id"]): r["word"] for r in chunks if r["word"] is not None}
+    assert len(set(words)) == len({(c, w) for (c, _), w in words.items()}) == sum(r["word"] is not None for r in chunks)
+    found = [(r["doc_id"], [words[r["chunk"], i] for i in masked_lm._unpacked(r["ids"]).tolist()]) for r in chunks if r["word"] is None]
+    wanted = [(i if i != 4 else None, masked_lm.words(t)) for i, t in enumerate(texts)]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+    n = {r["word"]: r["n"] for r in masked_lm.counted(docs).collect()}
+    assert n == {"one": 1506, "two": 6, ",": 3, "three": 3}
+    rows = masked_lm.coded(docs, {"one": 1}).collect()
+    assert sorted(r["n_tokens"] for r in rows) == sorted(len(w) for _, w in wanted)
+    rare = {w: round(np.log(k + 1) * masked_lm.UNIT) for w, k in n.items() if w != "one"}
+    assert sorted(r["within"] for r in rows) == sorted(sum(rare.get(w, 0) for w in own) for _, own in wanted)
+
+
+def test_masked_learning_is_one_step_after_another():
+    m = masked_lm
+    rng = np.random.default_rng(5)
+    few = rng.integers(0, 3, 1500) * m.CLASSES + 7  # one class has far more positions than a block has rows
+    stream, at = m.windows([few.astype(np.int16), np.zeros(0, np.int16), rng.integers(0, m.VOCABULARY, 1300).astype(np.int16)])
+    assert len(at) == 2800 and (stream[at[:1500]] == few).all() and (stream[at[1499] + m.OFFSETS] == [few[-3], few[-2], m.PAD, m.PAD]).all()
+    at = rng.permutation(at)
+    own, wanted = m.Network.start(), m.Network.start()
+    m.Network(own).learn(stream, at, 0.5)
+    net = m.Network(wanted)
+    for first in range(0, len(at), m.MINI):
+        pick = at[first : first + m.MINI]
+        net.step(stream[pick + m.OFFSETS[:, None]], stream[pick], 0.5)
+    assert np.abs(own - wanted).max() < 1e-5 and np.isfinite(own).all()
+    own *= 300  # logits beyond what exp takes
+    m.Network(own).learn(stream, at, 0.5)
+    assert np.isfinite(own).all() and np.isfinite(m.Network(own).log_probabilities(stream[at + m.OFFSETS[:, None]], stream[at])).all()
+
+
 def test_rare_words_are_told_apart_within_their_bucket(spark):
     texts = ["lemon melon", *["lemon"] * 9, "lexon", "lemon lexon lemon", "lexon lexon lexon lexon"]  # one bucket: equal length and last letter
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], KIND)
