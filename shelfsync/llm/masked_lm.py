@@ -52,7 +52,7 @@ UNIT = float(1 << 32)
 OFFSETS = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 STARTS = VOCABULARY * np.arange(len(OFFSETS))[:, None]
 #: Positions that are scored at once.
-CUT = 1 << 12
+CUT = 1 << 13
 #: Mini-batches that are sorted by class at once.
 SORTED = 64
 #: Rows of a block of one class in a batched product; a class with more positions in a mini-batch has several.
@@ -196,8 +196,9 @@ class Network:
         y = np.empty((len(target), WITHIN), np.float32)
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in range(CLASSES):
-            np.matmul(h[cuts[c] : cuts[c + 1]], self.tokens[c], out=y[cuts[c] : cuts[c + 1]])
-        y += self.token_bias[kind]
+            own = y[cuts[c] : cuts[c + 1]]
+            np.matmul(h[cuts[c] : cuts[c + 1]], self.tokens[c], out=own)
+            own += self.token_bias[c]
         found += y[at, place]
         found -= _raised(y, 1)
         found -= np.log(y @ ONES[:WITHIN])
@@ -424,12 +425,11 @@ def score(
             sums = np.zeros(len(tokens))
             if sizes.sum():
                 stream, place = windows(tokens)
-                target = stream[place]
-                around = stream[place + OFFSETS[:, None]]
-                logs = [net.log_probabilities(around[:, i : i + CUT], target[i : i + CUT]) for i in range(0, len(target), CUT)]
+                cuts = [place[i : i + CUT] for i in range(0, len(place), CUT)]
+                logs = [net.log_probabilities(stream[c + OFFSETS[:, None]], stream[c]) for c in cuts]
                 full = sizes > 0
                 begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-                sums[full] = np.add.reduceat(np.concatenate(logs).astype(np.float64) - totals[target], begins)
+                sums[full] = np.add.reduceat(np.concatenate(logs).astype(np.float64) - totals[stream[place]], begins)
             sums += np.array(at["within"], np.int64) / UNIT
             mean = [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist())]
             return {"doc_id": at["doc_id"], "n_tokens": sizes, "log_likelihood": sums, "mean": mean}
