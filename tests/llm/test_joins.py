@@ -89,6 +89,45 @@ def test_large_components_stay_exact(spark):
     assert [(r["positive_id"], r["negative_id"]) for r in found.collect()] == [(1, 2)]
 
 
+@pytest.mark.parametrize("most", [1 << 8, 1 << 20, 1 << 28])
+def test_products_are_exact_in_every_kind(most, monkeypatch):
+    rng = np.random.default_rng(most)
+    a, b = rng.integers(most - 9, most, (5, 64)), rng.integers(-most, -most + 9, (64, 7))
+    wanted = [[sum(int(x) * int(y) for x, y in zip(row, col)) for col in b.T] for row in a]
+    assert hard_negatives.strassen(a, b).tolist() == wanted
+    monkeypatch.setattr(hard_negatives, "LEAF", 2)
+    assert hard_negatives.strassen(a, b).tolist() == wanted
+
+
+def test_hard_negatives_broadcast_nothing(spark):
+    """The anchors' copies for all shards grow with the table, so they must not go through the driver."""
+    rng = np.random.default_rng(5)
+    data = [(i, [round(float(v), 1) for v in rng.normal(0, 1, 6)], i % 3) for i in range(200)]
+    rows = hard_negatives.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"))
+    anchors = rows.filter("vec_id % 10 = 0")
+    blocks = [stored(hard_negatives._blocks(df, size, key), "blocks") for df, size, key in ((rows, 64, "c"), (anchors, 8, "a"))]
+    for found in (hard_negatives.positives(*blocks, 5), hard_negatives.mine(rows, anchors)):
+        assert len(found.collect()) > 0
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("held", [20_000, 3])
+def test_heaps_are_kept_over_tiles(spark, monkeypatch, held):
+    """Many equal scores, in blocks of few rows whose heaps are passed on between blocks of anchors."""
+    monkeypatch.setattr(hard_negatives, "HELD", held)
+    monkeypatch.setattr(hard_negatives, "SPREAD", 1)
+    monkeypatch.setattr(hard_negatives, "SHARD_BYTES", held * 100)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 4)
+    monkeypatch.setattr(hard_negatives, "CANDIDATES", 16)
+    draw = random.Random(held)
+    data = [(i, [draw.choice([0.0, 0.5, 1.0, -1.0]) * (1 if i % 50 else 300) for _ in range(4)], draw.randrange(3)) for i in draw.sample(range(400), 400)]
+    rows = hard_negatives.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").repartition(3))
+    found = hard_negatives.mine(rows, rows.filter("vec_id % 10 = 0"), n_positives=4, n_negatives=3, low=60, high=95)
+    wanted = brute_mine(data, range(0, 400, 10), 4, 3, 60, 95)
+    assert sorted(map(tuple, found.collect())) == wanted and len(wanted) > 100
+
+
 # --- n-gram join ---------------------------------------------------------------------------------------------
 
 DOCS = "doc_id long, text string, class string, id long, n int, key string"
